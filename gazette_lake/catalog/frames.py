@@ -10,6 +10,7 @@ from gazette_lake.derived import listing as listing_data
 from gazette_lake.operators import blocks, lake, layout
 from gazette_lake.plans.listing import Rules, decide
 from gazette_lake.plans.publish import publications, with_extraction
+from gazette_lake.session import stage
 
 RULES = Rules(default_threshold=date(1996, 1, 1))
 RULES_NO_OCR = Rules(default_threshold=date(1996, 1, 1), ocr=False)
@@ -29,7 +30,8 @@ def fetched(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def decided(spark: SparkSession, sf: str, rules: Rules = RULES) -> DataFrame:
-    return decide(typed_rows(spark, sf), stored_index(spark, sf), fetched(spark, sf), rules)
+    rows = stage(typed_rows(spark, sf), "typed")
+    return decide(rows, stored_index(spark, sf), fetched(spark, sf), rules)
 
 
 def extractions(spark: SparkSession, sf: str, rules: Rules = RULES) -> DataFrame:
@@ -39,7 +41,8 @@ def extractions(spark: SparkSession, sf: str, rules: Rules = RULES) -> DataFrame
 
 
 def extracted(spark: SparkSession, sf: str, rules: Rules = RULES) -> DataFrame:
-    return with_extraction(decided(spark, sf, rules), extractions(spark, sf, rules), rules)
+    rows = stage(decided(spark, sf, rules), "decided")
+    return with_extraction(rows, extractions(spark, sf, rules), rules)
 
 
 def published(spark: SparkSession, sf: str) -> DataFrame:

@@ -285,10 +285,12 @@ select cast(p.doc_id as varchar) as doc_id, cast(p.page_idx as integer) as page_
 from ocr_pages p join ocr_lines l using (doc_id, page_idx) group by all
 """)
 oracle("scan_digital_layout", ["cropped"], """
-select cast(d.doc_id as varchar) as doc_id, coalesce(t.text, '') as text
-from documents d left join (
-  select doc_id, string_agg(content, chr(10) order by page_idx, j) as text from cropped group by doc_id) t
-  using (doc_id)
+select cast(d.doc_id as varchar) as doc_id,
+  coalesce(t.text || case when z.last_page > t.last_text then chr(10) else '' end, '') as text
+from documents d
+left join (select doc_id, max(page_idx) as last_page from zipped group by doc_id) z using (doc_id)
+left join (select doc_id, max(page_idx) as last_text, string_agg(content, chr(10) order by page_idx, j) as text
+  from cropped group by doc_id) t using (doc_id)
 """)
 oracle("scan_publications", ["records"], """
 select vat, zipcode, publication_number, true as is_digital, text from records

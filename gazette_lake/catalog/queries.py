@@ -12,8 +12,9 @@ from gazette_lake.derived import listing as listing_data
 from gazette_lake.functions import fields, html, urls
 from gazette_lake.functions import geometry as g
 from gazette_lake.operators import blocks, cutoff, frontier, lake, layout, prompts, rejects, reports, stored
+from gazette_lake.operators.unnest import unnest
 from gazette_lake.plans.publish import with_extraction
-from gazette_lake.session import new_folder
+from gazette_lake.session import new_folder, stage
 from gazette_lake.sources import landed, sinks
 from gazette_lake.sources.tables import read_table, spread
 from gazette_lake.streaming.ingest import ingest_stream
@@ -52,7 +53,7 @@ def scan_pages(spark, sf):
 def scan_ocr(spark, sf):
     folder = new_folder(spark, "ocr")
     layout_data.layouts(spark, sf).select("doc_id", "pages").write.json(folder)
-    pages = landed.read_ocr(spark, folder).select("doc_id", F.posexplode("pages").alias("page_idx", "page"))
+    pages = unnest(landed.read_ocr(spark, folder), ["doc_id"], "pages", "page", "page_idx")
     return pages.select(
         "doc_id", "page_idx", "page.width", "page.height",
         F.size("page.lines").cast("bigint").alias("n_lines"),
@@ -392,6 +393,7 @@ def reject_scan(spark, sf):
 def reject_report(spark, sf):
     rules = frames.RULES_NO_OCR
     decided = frames.decided(spark, sf, rules).select("publication_link", "reject_reason")
+    decided = stage(decided, "decided")
     scans = with_extraction(decided, frames.extractions(spark, sf, rules).drop("text"), rules)
     early = decided.filter("reject_reason is not null").select("reject_reason")
     return reports.reject_report(early.unionAll(scans.select("reject_reason")))
@@ -400,72 +402,71 @@ def reject_report(spark, sf):
 # Page layout
 
 
-def _kept(spark, sf, crop=True):
-    return layout.with_kept_lines(layout_data.layouts(spark, sf), crop=crop)
+def _kept(spark, sf):
+    return layout.with_kept_lines(layout_data.layouts(spark, sf))
 
 
-def _boxes(spark, sf, words=False):
-    return layout.with_page_boxes(layout_data.layouts(spark, sf, words))
+def _boxes(spark, sf):
+    return layout.with_page_boxes(layout_data.layouts(spark, sf))
 
 
 @query
 def page_zip(spark, sf):
     zipped = layout.with_zipped_pages(layout_data.layouts(spark, sf), "pages", "geometry", "lines")
-    return zipped.select("doc_id", F.posexplode("zipped").alias("page_idx", "p")).select(
+    return unnest(zipped, ["doc_id"], "zipped", "p", "page_idx").select(
         "doc_id", "page_idx", "p.ocr_width", "p.ocr_height", "p.width", "p.height",
         F.size("p.pieces").cast("bigint").alias("n_lines"))
 
 
 @query
 def polygon_bbox(spark, sf):
-    pages = layout_data.layouts(spark, sf).select("doc_id", F.posexplode("pages.lines").alias("page_idx", "lines"))
-    lines = pages.select("doc_id", "page_idx", F.posexplode("lines").alias("line_idx", "line"))
+    pages = unnest(layout_data.layouts(spark, sf), ["doc_id"], "pages.lines", "lines", "page_idx")
+    lines = unnest(pages, ["doc_id", "page_idx"], "lines", "line", "line_idx")
     return lines.select("doc_id", "page_idx", "line_idx", g.bounding_box(F.col("line")).alias("b")).select(
         "doc_id", "page_idx", "line_idx", "b.x0", "b.y0", "b.x1", "b.y1")
 
 
 @query
 def line_height_mode(spark, sf):
-    return _boxes(spark, sf).select("doc_id", F.inline("boxed")).select("doc_id", "page_idx", "line_height")
+    return unnest(_boxes(spark, sf), ["doc_id"], "boxed").select("doc_id", "item.page_idx", "item.line_height")
 
 
 @query
 def crop_rect(spark, sf):
-    return _boxes(spark, sf).select("doc_id", F.inline("boxed")).select("doc_id", "page_idx", "body.*")
+    return unnest(_boxes(spark, sf), ["doc_id"], "boxed").select("doc_id", "item.page_idx", "item.body.*")
 
 
 @query
 def scale_lines(spark, sf):
     lines = F.flatten(F.transform("boxed", lambda p: layout.page_lines(p, sort=False, crop=False)))
-    return _boxes(spark, sf).select("doc_id", F.inline(lines)).select(
-        "doc_id", "page_idx", "content", "x0", "y0", "x1", "y1")
+    return unnest(_boxes(spark, sf), ["doc_id"], lines).select(
+        "doc_id", "item.page_idx", "item.content", "item.x0", "item.y0", "item.x1", "item.y1")
 
 
 @query
 def sort_lines(spark, sf):
     ordered = lambda p: F.struct(p["page_idx"].alias("page_idx"), g.reading_order(p["boxes"]).alias("lines"))
-    pages = _boxes(spark, sf).select("doc_id", F.inline(F.transform("boxed", ordered)))
-    return pages.select("doc_id", "page_idx", F.posexplode("lines").alias("rank", "line")).select(
+    pages = unnest(_boxes(spark, sf), ["doc_id"], F.transform("boxed", ordered), "page")
+    return unnest(pages, ["doc_id", "page.page_idx"], "page.lines", "line", "rank").select(
         "doc_id", "page_idx", "rank", "line.content")
 
 
 @query
 def lines_in_crop(spark, sf):
-    return _kept(spark, sf).select("doc_id", F.inline("kept")).select(
-        "doc_id", "line.page_idx", "line.content", "line.x0", "line.y0", "line.x1", "line.y1")
+    return unnest(_kept(spark, sf), ["doc_id"], "kept.line", "line").select("doc_id", "line.*").drop("line_height")
 
 
 @query
 def prev_line(spark, sf):
-    return _kept(spark, sf).select("doc_id", F.inline("kept")).select(
-        "doc_id", "line.page_idx", "line.content",
-        F.col("before.content").alias("before"), F.col("before.y0").alias("py0"), F.col("before.y1").alias("py1"))
+    return unnest(_kept(spark, sf), ["doc_id"], "kept", "k").select(
+        "doc_id", "k.line.page_idx", "k.line.content", F.col("k.before.content").alias("before"),
+        F.col("k.before.y0").alias("py0"), F.col("k.before.y1").alias("py1"))
 
 
 @query
 def same_line(spark, sf):
     marked = layout.with_same_line(_kept(spark, sf))
-    return marked.select("doc_id", F.inline("marked")).select("doc_id", "page_idx", "content", "same_line")
+    return unnest(marked, ["doc_id"], "marked").select("doc_id", "item.page_idx", "item.content", "item.same_line")
 
 
 @query

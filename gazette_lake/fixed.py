@@ -21,9 +21,11 @@ UNPROCESSED = "unprocessed"
 SPACE = r"[\s\x1c-\x1f]"
 
 # Field formats.  (?U) gives Unicode digits and white space, (?d) makes only \n end a line.
+# There is no year 0.
 ADDRESS_FORMAT = rf"(?Ud)^(.*){SPACE}(\d{{4}}){SPACE}(.*)$"
-FULL_DATE_FORMAT = rf"(?Ud)^(\d{{4}}-\d{{2}}-\d{{2}}){SPACE}/{SPACE}(\d*-?\d+)$"
-YEAR_FORMAT = rf"(?Ud)^(\d{{4}}){SPACE}/{SPACE}(\d*-?\d+)$"
+FULL_DATE_FORMAT = rf"(?Ud)^((?!0000)\d{{4}}-\d{{2}}-\d{{2}}){SPACE}/{SPACE}\d*-?\d+$"
+YEAR_FORMAT = rf"(?Ud)^(\d{{4}})({SPACE}/{SPACE}\d*-?\d+)$"
+NUMBER_FORMAT = rf"(?Ud)^\d{{4}}(?:-\d{{2}}-\d{{2}})?{SPACE}/{SPACE}(\d*-?\d+)$"
 
 # Body of a printed page, as fractions (left, top, right, bottom) of its size.
 FIRST_PAGE_BODY = (0.15966, 0.20485, 0.95, 0.9195)

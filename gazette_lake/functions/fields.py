@@ -1,10 +1,14 @@
-"""Typed fields of one publication block.  Every function is a Column expression."""
+"""Typed fields of one publication block.  Every function is a Column expression.
+
+Each names its input once where it can.  Spark copies an expression into the filters it
+pushes down, so inputs named many times would be worked out many times.
+"""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gazette_lake import fixed
-from gazette_lake.functions.text import is_missing, null_if_empty, strip
+from gazette_lake.functions.text import let, null_if_empty, strip
 from gazette_lake.schemas import PUBLICATION_FIELDS
 
 META_PARTS = ["address", "vat", "act_description", "date_number"]
@@ -12,19 +16,18 @@ META_PARTS = ["address", "vat", "act_description", "date_number"]
 
 def unpack_meta(meta: Column) -> dict[str, Column]:
     """Name the first four of 4 or 6 metadata strings; any other length names none."""
-    known = F.size(meta).isin(4, 6)
-    return {name: F.when(known, F.get(meta, F.lit(i))) for i, name in enumerate(META_PARTS)}
+    part = lambda i: lambda texts: F.when(F.size(texts).isin(4, 6), F.get(texts, F.lit(i)))
+    return {name: let(meta, part(i)) for i, name in enumerate(META_PARTS)}
 
 
 def clean_vat(vat: Column) -> Column:
     """Company number without dots; absent stays absent."""
-    return F.when(~is_missing(vat), strip(F.replace(vat, F.lit("."), F.lit(""))))
+    return null_if_empty(strip(F.replace(vat, F.lit("."), F.lit(""))))
 
 
 def normalize_vat(vat: Column) -> Column:
     """Company number as a whole number in text form: no leading zeros, null if not a number."""
-    digits = strip(vat)
-    return F.when(digits.rlike("^[0-9]+$"), F.regexp_replace(digits, "^0+(?=[0-9])", ""))
+    return null_if_empty(F.regexp_extract(strip(vat), "^0*([0-9]+)$", 1))
 
 
 def effective_vat(search_vat: Column, page_vat: Column) -> Column:
@@ -45,20 +48,13 @@ def address_parts(address: Column) -> Column:
 
 def publication_date(date_number: Column) -> Column:
     """Full date, else 1 January of a lone year; an impossible date is null."""
-    full = F.regexp_extract(date_number, fixed.FULL_DATE_FORMAT, 1)
-    year = F.regexp_extract(date_number, fixed.YEAR_FORMAT, 1)
-    return (
-        F.when(full != "", F.try_to_date(full, "yyyy-MM-dd"))
-        .when((year != "") & (year != "0000"), F.try_to_date(F.concat(year, F.lit("-01-01")), "yyyy-MM-dd"))
-    )
+    full = F.regexp_replace(date_number, fixed.YEAR_FORMAT, "$1-01-01$2")
+    return F.try_to_date(F.regexp_extract(full, fixed.FULL_DATE_FORMAT, 1), "yyyy-MM-dd")
 
 
 def publication_number(date_number: Column) -> Column:
     """The number behind the date, in either format."""
-    return F.coalesce(
-        null_if_empty(F.regexp_extract(date_number, fixed.FULL_DATE_FORMAT, 2)),
-        null_if_empty(F.regexp_extract(date_number, fixed.YEAR_FORMAT, 2)),
-    )
+    return null_if_empty(F.regexp_extract(date_number, fixed.NUMBER_FORMAT, 1))
 
 
 def record(**fields: Column) -> Column:

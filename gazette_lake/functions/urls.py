@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gazette_lake import fixed
-from gazette_lake.functions.text import null_if_empty
+from gazette_lake.functions.text import let, null_if_empty
 
 
 def pdf_links(urls: Column) -> Column:
@@ -13,8 +13,7 @@ def pdf_links(urls: Column) -> Column:
 
 def only_pdf(urls: Column) -> Column:
     """The pdf link when there is exactly one."""
-    pdfs = pdf_links(urls)
-    return F.when(F.size(pdfs) == 1, F.get(pdfs, F.lit(0)))
+    return let(pdf_links(urls), lambda pdfs: F.when(F.size(pdfs) == 1, F.get(pdfs, F.lit(0))))
 
 
 def has_several_pdfs(urls: Column) -> Column:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from gazette_lake.functions import fields, html, urls
 from gazette_lake.operators.ordering import Bucket, with_position
+from gazette_lake.operators.unnest import unnest
 
 PAGES_PER_SEGMENT = 1000
 
@@ -13,10 +14,9 @@ def page_blocks(pages: DataFrame, **grammar) -> DataFrame:
     """One row per block, ``pos`` counting from 1 on each page."""
     kept = pages.filter(html.has_results(F.col("html"), F.col("page")))
     others = [c for c in pages.columns if c not in ("html", "url", "page")]
-    numbered = kept.select(
-        *others, F.coalesce("page", F.lit(1)).alias("page"),
-        F.posexplode(html.page_blocks(F.col("html"), **grammar)).alias("_i", "block"))
-    return numbered.withColumn("pos", F.col("_i") + 1).drop("_i")
+    columns = [*others, F.coalesce("page", F.lit(1)).alias("page")]
+    found = unnest(kept, columns, html.page_blocks(F.col("html"), **grammar), "block")
+    return found.withColumn("pos", F.col("_index") + 1).drop("_index")
 
 
 def gather(blocks: DataFrame, name: str = "search_pos") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gazette_lake import fixed
 from gazette_lake.functions import geometry as g
 from gazette_lake.functions.text import previous
+from gazette_lake.operators.unnest import unnest
 
 
 def with_zipped_pages(documents: DataFrame, pages: str, geometry: str, part: str) -> DataFrame:
@@ -150,7 +151,7 @@ def same_height_boxes(documents: DataFrame, **boxes) -> DataFrame:
         F.greatest(m["line"]["x1"], m["before"]["x1"]).alias("x1"),
         F.greatest(m["line"]["y1"], m["before"]["y1"]).alias("y1"),
     ))
-    return marked.select("doc_id", F.inline(pairs))
+    return unnest(marked, ["doc_id"], pairs).select("doc_id", "item.*")
 
 
 def word_boxes(documents: DataFrame, pages: str = "pages", geometry: str = "geometry") -> DataFrame:
@@ -160,10 +161,10 @@ def word_boxes(documents: DataFrame, pages: str = "pages", geometry: str = "geom
     first = zipped.withColumn("_first", F.get("zipped", F.lit(0)))
     by_x = F.try_divide(F.col("_first.width"), F.col("_first.ocr_width"))
     by_y = F.try_divide(F.col("_first.height"), F.col("_first.ocr_height"))
-    scaled = first.select("doc_id", by_x.alias("_by_x"), by_y.alias("_by_y"), F.posexplode("_first.pieces"))
-    corner = lambda i: F.get(F.col("col.polygon"), F.lit(i))
-    return scaled.select(
-        "doc_id", F.col("pos").alias("word_idx"), F.col("col.content").alias("content"),
+    words = unnest(first, ["doc_id", by_x.alias("_by_x"), by_y.alias("_by_y")], "_first.pieces", "word", "word_idx")
+    corner = lambda i: F.get(F.col("word.polygon"), F.lit(i))
+    return words.select(
+        "doc_id", "word_idx", F.col("word.content").alias("content"),
         (corner(0)["x"] * F.col("_by_x")).alias("x0"), (corner(0)["y"] * F.col("_by_y")).alias("y0"),
         (corner(2)["x"] * F.col("_by_x")).alias("x1"), (corner(2)["y"] * F.col("_by_y")).alias("y1"),
     )

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Join skew is left to adaptive execution, also where splitting costs one more shuffle.
 # Small sides are broadcast by measured size (spark.sql.autoBroadcastJoinThreshold);
@@ -47,3 +47,15 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path nobody else uses, below the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stage(rows: DataFrame, name: str) -> DataFrame:
+    """Write rows that several later steps need, and read them back.
+
+    A written table is computed once, survives a lost executor, prunes columns and has
+    a real size, by which joins are planned.
+    """
+    spark = rows.sparkSession
+    folder = new_folder(spark, name)
+    rows.write.parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
