@@ -121,7 +121,7 @@ def gather_pages(spark, sf):
     pages = listing_data.result_pages(listing_data.listing(spark, sf))
     placed = blocks.gather(blocks.page_blocks(pages))
     return placed.select(
-        "search_id", "page", "pos", "search_pos", html.company_name(F.col("block")).alias("company_name"))
+        "search_id", "page", "pos", "search_pos", html.company_name(html.paragraph(F.col("block"))).alias("company_name"))
 
 
 @query
@@ -157,13 +157,13 @@ def page_links(spark, sf):
 @query
 def html_company_name(spark, sf):
     return _blocks(spark, sf).select(
-        "search_id", "page", "pos", html.company_name(F.col("block")).alias("company_name"))
+        "search_id", "page", "pos", html.company_name(html.paragraph(F.col("block"))).alias("company_name"))
 
 
 @query
 def html_juridical_form(spark, sf):
     return _blocks(spark, sf).select(
-        "search_id", "page", "pos", html.juridical_form(F.col("block")).alias("juridical_form"))
+        "search_id", "page", "pos", html.juridical_form(html.paragraph(F.col("block"))).alias("juridical_form"))
 
 
 @query

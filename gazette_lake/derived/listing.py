@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gazette_lake.functions import urls
 from gazette_lake.operators.ordering import Bucket, with_position
-from gazette_lake.sources.tables import read_table
+from gazette_lake.sources.tables import read_table, spread
 
 KEYS_PER_BUCKET = 1 << 20
 
@@ -16,6 +16,7 @@ KEYS_PER_BUCKET = 1 << 20
 def listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order, not yet placed on result pages."""
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = spread(orders, "o_orderkey")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     joined = (

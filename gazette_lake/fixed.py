@@ -16,16 +16,18 @@ DEFAULT_THRESHOLD = date(2010, 1, 1)
 PDF_SUFFIX = ".pdf"
 UNPROCESSED = "unprocessed"
 
-# White space as the source data's producer understands it: Unicode white space
-# plus the four ASCII separators U+001C to U+001F.
-SPACE = r"[\s\x1c-\x1f]"
-
-# Field formats.  (?U) gives Unicode digits and white space, (?d) makes only \n end a line.
-# There is no year 0.
-ADDRESS_FORMAT = rf"(?Ud)^(.*){SPACE}(\d{{4}}){SPACE}(.*)$"
-FULL_DATE_FORMAT = rf"(?Ud)^((?!0000)\d{{4}}-\d{{2}}-\d{{2}}){SPACE}/{SPACE}\d*-?\d+$"
-YEAR_FORMAT = rf"(?Ud)^(\d{{4}})({SPACE}/{SPACE}\d*-?\d+)$"
-NUMBER_FORMAT = rf"(?Ud)^\d{{4}}(?:-\d{{2}}-\d{{2}})?{SPACE}/{SPACE}(\d*-?\d+)$"
+# White space and digits as the source data's producer understands them: Unicode white
+# space plus the separators U+001C to U+001F, and decimal digits of every script.  Named
+# one by one, they match several times faster than with the Unicode flag of the patterns.
+SPACES = "".join(filter(str.isspace, map(chr, range(0x3001))))
+SPACE = "[" + "".join(f"\\u{ord(space):04x}" for space in SPACES) + "]"
+DIGIT = r"\p{Nd}"
+
+# Field formats.  (?d) makes only \n end a line.  There is no year 0.
+ADDRESS_FORMAT = rf"(?d)^(.*){SPACE}({DIGIT}{{4}}){SPACE}(.*)$"
+FULL_DATE_FORMAT = rf"(?d)^((?!0000){DIGIT}{{4}}-{DIGIT}{{2}}-{DIGIT}{{2}}){SPACE}/{SPACE}{DIGIT}*-?{DIGIT}+$"
+YEAR_FORMAT = rf"(?d)^({DIGIT}{{4}})({SPACE}/{SPACE}{DIGIT}*-?{DIGIT}+)$"
+NUMBER_FORMAT = rf"(?d)^{DIGIT}{{4}}(?:-{DIGIT}{{2}}-{DIGIT}{{2}})?{SPACE}/{SPACE}({DIGIT}*-?{DIGIT}+)$"
 
 # Body of a printed page, as fractions (left, top, right, bottom) of its size.
 FIRST_PAGE_BODY = (0.15966, 0.20485, 0.95, 0.9195)

@@ -35,15 +35,15 @@ def effective_vat(search_vat: Column, page_vat: Column) -> Column:
     return F.coalesce(search_vat, page_vat)
 
 
+_BOUNDARY = "\uffff"  # not a character, so it is in no text
+
+
 def address_parts(address: Column) -> Column:
     """struct(street, zipcode, city), split at the last four-digit group between white space."""
-    part = lambda i: F.regexp_extract(address, fixed.ADDRESS_FORMAT, i)
-    found = part(2) != ""
-    return F.struct(
-        F.when(found, part(1)).alias("street"),
-        F.when(found, part(2)).alias("zipcode"),
-        F.when(found, part(3)).alias("city"),
-    )
+    marked = F.regexp_replace(address, fixed.ADDRESS_FORMAT, f"$1{_BOUNDARY}$2{_BOUNDARY}$3")
+    part = lambda parts, i: F.when(F.size(parts) == 3, F.get(parts, F.lit(i)))
+    return let(F.split(marked, _BOUNDARY, -1), lambda parts: F.struct(
+        part(parts, 0).alias("street"), part(parts, 1).alias("zipcode"), part(parts, 2).alias("city")))
 
 
 def publication_date(date_number: Column) -> Column:

@@ -31,7 +31,8 @@ def absolute_url(relative: Column, base: str = fixed.BASE_URL) -> Column:
 
 def path_stem(path: Column) -> Column:
     """Last path part without its extension."""
-    return null_if_empty(F.regexp_extract(path, r"([^/]+?)(\.[^./]+)?/*$", 1))
+    name = F.substring_index(F.rtrim(path, F.lit("/")), "/", -1)
+    return null_if_empty(F.regexp_replace(name, r"(?s)(?<=.)\.[^.]+\z", ""))
 
 
 def search_url(page: Column, vat: Column | None, start: Column | None, end: Column | None,

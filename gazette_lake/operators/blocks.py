@@ -28,13 +28,13 @@ def gather(blocks: DataFrame, name: str = "search_pos") -> DataFrame:
 
 def block_parts(blocks: DataFrame) -> DataFrame:
     """Raw parts of a block in place of its HTML."""
-    block = F.col("block")
-    return blocks.withColumns({
+    block, paragraph = F.col("block"), F.col("_paragraph")
+    return blocks.withColumn("_paragraph", html.paragraph(block)).withColumns({
         "urls": html.link_targets(block),
-        "company_name": html.company_name(block),
-        "company_juridical_form": html.juridical_form(block),
+        "company_name": html.company_name(paragraph),
+        "company_juridical_form": html.juridical_form(paragraph),
         "meta": html.metadata(block),
-    }).drop("block")
+    }).drop("block", "_paragraph")
 
 
 def typed_fields(parts: DataFrame, normalize: bool = True) -> DataFrame:
