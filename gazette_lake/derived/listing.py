@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gazette_lake.functions import urls
 from gazette_lake.operators.ordering import Bucket, with_position
+from gazette_lake.session import stage
 from gazette_lake.sources.tables import read_table, spread
 
 KEYS_PER_BUCKET = 1 << 20
@@ -83,6 +84,10 @@ def parts(listed: DataFrame) -> DataFrame:
     })
 
 
+def _page_url(page: Column) -> Column:
+    return F.concat(F.lit("https://gazette.example/list?s="), F.col("search_id"), F.lit("&p="), page.cast("string"))
+
+
 def result_pages(listed: DataFrame) -> DataFrame:
     """HTML result pages of at most 100 blocks, left open at the end like real ones."""
     pdf = lambda target: F.concat(F.lit('<a href="'), target, F.lit('">pdf</a>'))
@@ -101,8 +106,7 @@ def result_pages(listed: DataFrame) -> DataFrame:
     start = F.when(F.col("search_id").cast("int") % 2 == 0, F.lit("1997-07-01").cast("date"))
     return grouped.select(
         "search_id", "page", F.lit(None).cast("string").alias("search_vat"), start.alias("start_date"),
-        F.concat(F.lit("https://gazette.example/list?s="), F.col("search_id"), F.lit("&p="),
-                 F.col("page").cast("string")).alias("url"),
+        _page_url(F.col("page")).alias("url"),
         F.concat(F.lit("<html><body><main>"), body, F.lit("</main>")).alias("html"),
     )
 
@@ -110,15 +114,16 @@ def result_pages(listed: DataFrame) -> DataFrame:
 def fetched_pages(listed: DataFrame) -> DataFrame:
     """``result_pages`` in the middle of a crawl: odd searches still lack their last page,
     every fourth one has an empty page behind its last."""
-    last = listed.groupBy(F.col("search_id").alias("_search")).agg(F.max("page").alias("_last"))
+    listed = stage(listed, "listed")
+    last = listed.groupBy("search_id").agg(F.max("page").alias("_last"))
     number = F.col("search_id").cast("int")
-    pages = result_pages(listed)
-    behind = pages.join(last, (F.col("search_id") == F.col("_search")) & (F.col("page") == F.col("_last")))
-    behind = behind.filter(number % 4 == 0).withColumns({
-        "page": F.col("page") + 1, "html": F.lit("<html><body><main></main>")}).select(pages.columns)
-    so_far = pages.join(last, F.col("search_id") == F.col("_search"))
-    so_far = so_far.filter((number % 2 == 0) | (F.col("page") < F.col("_last"))).select(pages.columns)
-    return so_far.unionAll(behind)
+    blocks = listed.join(last, "search_id").filter((number % 2 == 0) | (F.col("page") < F.col("_last")))
+    pages = result_pages(blocks)
+    behind = last.filter(number % 4 == 0).select(
+        "search_id", (F.col("_last") + 1).alias("page"), F.lit(None).cast("string").alias("search_vat"),
+        F.lit("1997-07-01").cast("date").alias("start_date"), _page_url(F.col("_last")).alias("url"),
+        F.lit("<html><body><main></main>").alias("html"))
+    return pages.unionAll(behind)
 
 
 def lake_paths(rows: DataFrame) -> DataFrame:

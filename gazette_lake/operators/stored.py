@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gazette_lake.functions.urls import local_path, store_path
 from gazette_lake.operators.lookups import lookup
 
 KEYS = ["vat", "publication_number"]
@@ -40,3 +41,13 @@ def not_stored_prefix(rows: DataFrame, index: DataFrame) -> DataFrame:
 def new_companies(before: DataFrame, after: DataFrame) -> DataFrame:
     """Companies of ``after`` that ``before`` does not have, each once."""
     return after.select("vat").distinct().join(before.select("vat"), "vat", "left_anti")
+
+
+def not_downloaded(rows: DataFrame, manifest: DataFrame, root: str) -> DataFrame:
+    """Rows whose pdf is not among the files below ``root`` yet.
+
+    ``manifest`` lists files as Spark names them, with a scheme in front.
+    """
+    wanted = rows.withColumn("_path", local_path(root, store_path(F.col("publication_link"))))
+    present = manifest.select(F.regexp_replace("path", "^[a-z][a-z0-9+.-]*:(?://[^/]*)?(?=/)", "").alias("_path"))
+    return wanted.join(present, "_path", "left_anti").drop("_path")

@@ -39,3 +39,4 @@ LAKE = (
 REJECTS = "search_id string, page int, pos int, detail string, ingest_seq bigint, reject_reason string"
 PROMPTS = "blob_key string, messages array<struct<role:string, content:string>>"
 COMPLETIONS = "blob_key string, summary string"
+DOCUMENTS = f"publication_link string, doc_id string, pages {OCR_PAGES}, geometry {GEOMETRY}, page_texts array<string>"

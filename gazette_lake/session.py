@@ -27,20 +27,17 @@ def build_session(app: str = "gazette-lake", master: str | None = None, **settin
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's folder for checkpoints and written intermediates.
+    """The cluster's folder for written intermediates.
 
     Only a local session, as in tests, gets a folder of its own when none is named.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(named)
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     own = tempfile.mkdtemp(prefix="gazette-lake-")
     spark.conf.set("spark.checkpoint.dir", own)
-    spark.sparkContext.setCheckpointDir(own)
     return own
 
 
