@@ -97,6 +97,14 @@ def test_repeated_batch_writes_the_same(world):
     assert landed.read_lake(spark, f"{out}/lake").count() == 1
 
 
+def test_text_still_missing(world):
+    spark, pages, fetched, texts, out = world
+    land(spark, pages, [("vat", 1, "471938850", [block("0000001"), block("0000006")])])
+    run((spark, pages, fetched, texts.filter("is_digital"), out))
+    assert set(keys(world)) == {"471938850/2020/01/02/0000001.json"}
+    assert rejected(world) == {("vat", 1, 2): "not_extracted"}
+
+
 def test_scans_without_ocr(world):
     land(world[0], world[1], [("vat", 1, "471938850", [block("0000001"), block("0000006")])])
     run(world, Rules(ocr=False))

@@ -158,11 +158,11 @@ def test_first_reason_wins(spark):
     assert plain == "download_failed"
 
 
-def test_scan_reason(spark):
+def test_text_reason(spark):
     frame = spark.createDataFrame([(True,), (False,), (None,)], "is_digital boolean")
-    read = lambda ocr: [r[0] for r in frame.select(rejects.scan_reason(ocr)).collect()]
-    assert read(True) == [None] * 3
-    assert read(False) == [None, "scan_without_ocr", "scan_without_ocr"]
+    read = lambda ocr: [r[0] for r in frame.select(rejects.text_reason(ocr)).collect()]
+    assert read(True) == [None, None, "not_extracted"]
+    assert read(False) == [None, "scan_without_ocr", "not_extracted"]
 
 
 def test_latest_with_a_hot_key(spark):
