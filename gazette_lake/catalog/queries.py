@@ -392,7 +392,7 @@ def reject_scan(spark, sf):
 @query
 def reject_report(spark, sf):
     rules = frames.RULES_NO_OCR
-    decided = frames.decided(spark, sf, rules).select("publication_link", "reject_reason")
+    decided = frames.decided(spark, sf, rules).select("page", "pos", "publication_link", "reject_reason")
     decided = stage(decided, "decided")
     scans = with_extraction(decided, frames.extractions(spark, sf, rules).drop("text"), rules)
     early = decided.filter("reject_reason is not null").select("reject_reason")

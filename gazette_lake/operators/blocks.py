@@ -4,11 +4,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gazette_lake.functions import fields, html, urls
+from gazette_lake.operators.cutoff import segment
 from gazette_lake.operators.ordering import Bucket, with_position
 from gazette_lake.operators.unnest import unnest
 
-PAGES_PER_SEGMENT = 1000
-
 
 def page_blocks(pages: DataFrame, **grammar) -> DataFrame:
     """One row per block, ``pos`` counting from 1 on each page."""
@@ -21,8 +20,8 @@ def page_blocks(pages: DataFrame, **grammar) -> DataFrame:
 
 def gather(blocks: DataFrame, name: str = "search_pos") -> DataFrame:
     """Adds the place of a block among all blocks of its search, in page order."""
-    segment = blocks.withColumn("_segment", F.expr(f"page div {PAGES_PER_SEGMENT}"))
-    placed = with_position(segment, ["search_id"], [Bucket("_segment")], [F.col("page"), F.col("pos")], name)
+    split = blocks.withColumn("_segment", segment())
+    placed = with_position(split, ["search_id"], [Bucket("_segment")], [F.col("page"), F.col("pos")], name)
     return placed.drop("_segment")
 
 

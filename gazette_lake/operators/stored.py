@@ -30,7 +30,7 @@ def prefix_index(index: DataFrame) -> DataFrame:
     prefixes = F.transform(
         F.sequence(F.lit(1), F.length("vat")), lambda n: F.substring(F.col("vat"), F.lit(1), n))
     named = index.filter(F.length("vat") > 0)
-    return named.select(F.explode(prefixes).alias("vat"), "publication_number").distinct()
+    return named.select(F.explode(prefixes).alias("vat"), "publication_number")
 
 
 def not_stored_prefix(rows: DataFrame, index: DataFrame) -> DataFrame:
