@@ -29,6 +29,11 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def after_first(items: Column) -> Column:
+    """The array without its first element."""
+    return F.slice(items, F.lit(2), F.lit(1 << 30))
+
+
 def previous(items: Column) -> Column:
     """The array moved one place to the right: each place holds its predecessor, the first null."""
     return F.slice(F.concat(F.array(F.lit(None)), items), F.lit(1), F.size(items))

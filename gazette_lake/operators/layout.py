@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gazette_lake import fixed
 from gazette_lake.functions import geometry as g
-from gazette_lake.functions.text import previous
+from gazette_lake.functions.text import let, previous
 from gazette_lake.operators.unnest import unnest
 
 
@@ -107,7 +107,7 @@ def with_scan_text(documents: DataFrame, name: str = "scan_text", sort: bool = T
 def digital_text(page_texts: Column) -> Column:
     """Page texts one after the other, by the newline rule, without tabs."""
     lines = F.transform(page_texts, lambda t: F.struct(t.alias("content"), F.lit(False).alias("same_line")))
-    return F.coalesce(g.join_lines(lines), F.lit(""))
+    return F.coalesce(let(lines, g.join_lines), F.lit(""))
 
 
 def with_digital_page_texts(layouts: DataFrame, geometry: str = "geometry", name: str = "page_texts",
