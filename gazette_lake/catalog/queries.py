@@ -587,6 +587,6 @@ def complete_with(spark, sf):
 
 @query
 def summaries(spark, sf):
-    published = frames.published(spark, sf)
+    published = stage(frames.published(spark, sf), "published")
     done = prompts.complete_with(prompts.prompt_table(published), stand_in)
     return prompts.summaries(published, done).select("blob_key", "company_name", "summary")

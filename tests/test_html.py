@@ -3,7 +3,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from gazette_lake.functions import html
 from gazette_lake.operators import blocks, frontier
 
 PAGE = """<!DOCTYPE html><html><body><a href="/nav.pdf">nav</a><main>

@@ -4,7 +4,6 @@ import json
 from datetime import date
 
 import pytest
-from pyspark.sql import functions as F
 
 from gazette_lake import schemas
 from gazette_lake.operators import lake, prompts
