@@ -25,14 +25,14 @@ def company_frontier(seeds: DataFrame) -> DataFrame:
 
 def day_frontier(ranges: DataFrame, today: date | Column | None = None) -> DataFrame:
     """One search per day of each range, both ends included.  A missing end is today,
-    a reversed range has no days.  Other columns of a range are kept."""
+    a reversed range has no days.  The day names the search.  Other columns of a range are kept."""
     now = F.current_date() if today is None else today if isinstance(today, Column) else F.lit(today)
     last = F.coalesce(F.col("end_date"), now)
     days = F.sequence(F.col("start_date"), last, F.expr("interval 1 day"))
-    others = [c for c in ranges.columns if c not in ("start_date", "end_date")]
+    others = [c for c in ranges.columns if c not in ("search_id", "start_date", "end_date")]
     searches = ranges.filter(F.col("start_date") <= last).select(*others, F.explode(days).alias("start_date"))
     return searches.select(
-        *others, "start_date", F.col("start_date").alias("end_date"), F.lit(1).alias("page"),
+        *others, F.date_format("start_date", "yyyy-MM-dd").alias("search_id"), "start_date", F.col("start_date").alias("end_date"), F.lit(1).alias("page"),
         search_url(F.lit(1), None, F.col("start_date"), F.col("start_date")).alias("url"),
     )
 

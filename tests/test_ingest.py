@@ -158,3 +158,21 @@ def test_pages_and_pdfs_as_files(spark, tmp_path):
     assert page.html == "<html>\n1</html>" and page.path.endswith("1.html")
     manifest = landed.read_pdf_manifest(spark, str(tmp_path)).collect()
     assert [(r.path[-5:], r.n_bytes) for r in manifest] == [("2.pdf", 4)] or manifest[0].path.endswith("/2.pdf")
+
+
+def test_ingest_job(world, tmp_path, monkeypatch):
+    from gazette_lake.__main__ import main
+
+    spark, pages, fetched, _, out = world
+    land(spark, pages, [("vat", 1, "471938850", [block("0000001"), block("0000006")])])
+    line = ("scan", [(20.0, 50.0), (30.0, 50.0), (30.0, 52.0), (20.0, 52.0)])
+    page = (100.0, 100.0, [line], [])
+    documents = spark.createDataFrame(
+        [(link("0000001"), "d1", [page], [(100.0, 100.0)], ["digital"]), (link("0000006"), "d6", [page], [(100.0, 100.0)], [""])],
+        schemas.DOCUMENTS)
+    fetched.write.parquet(str(tmp_path / "fetched"))
+    documents.write.parquet(str(tmp_path / "documents"))
+    monkeypatch.setattr("sys.argv", ["gazette_lake", "ingest", pages, str(tmp_path / "fetched"), str(tmp_path / "documents"), out])
+    main()
+    assert {(r.pubid, r.text, r.is_digital) for r in keys(world).values()} == {
+        ("0000001", "digital", True), ("0000006", "scan", False)}

@@ -202,7 +202,7 @@ def test_days(spark):
     rows = frontier.day_frontier(ranges, date(2024, 1, 7)).collect()
     count = {i: sum(r.id == i for r in rows) for i in (1, 2, 3, 4)}
     assert count == {1: 7, 2: 1, 3: 0, 4: 2}
-    assert all(r.start_date == r.end_date and r.page == 1 for r in rows)
+    assert all(r.start_date == r.end_date and r.page == 1 and r.search_id == str(r.start_date) for r in rows)
 
 
 def test_company_searches(spark):
