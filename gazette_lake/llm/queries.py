@@ -4,12 +4,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gazette_lake.llm import binary, counting, packing, sharding
+from gazette_lake.llm import binary, counting, packing, sharding, similarity
 from gazette_lake.llm.common import documents, tokenizer_file
 
 WORDS, BYTES = "word_bpe_49k.json", "byte_bpe_50k.json"
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.near_duplicates(documents(spark, sf_dir))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.count_tokens(documents(spark, sf_dir), tokenizer_file(BYTES))
 
@@ -27,7 +31,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_token_counts, op4_shards, op8_token_files, op10_packing)}
+    f.__name__: f for f in (op1_ngram_jaccard, op3_token_counts, op4_shards, op8_token_files, op10_packing)}
 
 # Checksums, tokenizer files and trained models have no counterpart in SQL; tests compare with brute force.
 ORACLES: dict[str, str] = {}
