@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gazette_lake.llm import arrays, common
-from gazette_lake.llm.tokenize import load
+from gazette_lake.llm.encoders import load
 from gazette_lake.session import new_folder, stage
 
 LENGTH = 2048

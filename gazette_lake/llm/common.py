@@ -4,7 +4,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette_lake.llm.tokenize import Encoder, character_tables
+from gazette_lake.llm.encoders import Encoder, character_tables
 
 
 def id_and_text(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -16,6 +16,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def tokenizer_file(name: str) -> str:
     """Where a public tokenizer's file is installed; the same place on every machine."""
     import public_tokenizers

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gazette_lake.llm import arrays, common
-from gazette_lake.llm.tokenize import load
+from gazette_lake.llm.encoders import load
 
 FREQUENT = 1 << 15  # entries of the table at most
 TABLE_BITS = 18  # its slots: 2**18 of 10 bytes, 2.6 MB

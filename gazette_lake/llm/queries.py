@@ -4,8 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gazette_lake.llm import binary, counting, packing, sharding, similarity
-from gazette_lake.llm.common import documents, tokenizer_file
+from gazette_lake.llm import binary, counting, decontamination, packing, sharding, similarity, toxicity
+from gazette_lake.llm.common import benchmark, documents, labels, tokenizer_file
 
 WORDS, BYTES = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -14,6 +14,10 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.near_duplicates(documents(spark, sf_dir))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(documents(spark, sf_dir), toxicity.grades(labels(spark, sf_dir)))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.count_tokens(documents(spark, sf_dir), tokenizer_file(BYTES))
 
@@ -22,6 +26,10 @@ def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir), 40)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary.encode_to_files(documents(spark, sf_dir), tokenizer_file(WORDS), end_id=2)
 
@@ -31,7 +39,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op3_token_counts, op4_shards, op8_token_files, op10_packing)}
+    f.__name__: f for f in (op1_ngram_jaccard, op2_toxicity, op3_token_counts, op4_shards, op5_decontamination, op8_token_files, op10_packing)}
 
 # Checksums, tokenizer files and trained models have no counterpart in SQL; tests compare with brute force.
 ORACLES: dict[str, str] = {}
