@@ -4,10 +4,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gazette_lake.llm import binary, counting, decontamination, packing, sharding, similarity, toxicity
+from gazette_lake.llm import (
+    binary, counting, decontamination, language, packing, quality, sharding, similarity, toxicity)
 from gazette_lake.llm.common import benchmark, documents, labels, tokenizer_file
 
-WORDS, BYTES = "word_bpe_49k.json", "byte_bpe_50k.json"
+WORDS, BYTES, SUBWORDS = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,16 +31,24 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find(documents(spark, sf_dir), benchmark(spark, sf_dir))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(documents(spark, sf_dir), tokenizer_file(SUBWORDS))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary.encode_to_files(documents(spark, sf_dir), tokenizer_file(WORDS), end_id=2)
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(documents(spark, sf_dir), tokenizer_file(WORDS), end_id=0, capacity=2048)
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op2_toxicity, op3_token_counts, op4_shards, op5_decontamination, op8_token_files, op10_packing)}
+    f.__name__: f for f in (op1_ngram_jaccard, op2_toxicity, op3_token_counts, op4_shards, op5_decontamination, op6_language, op8_token_files, op9_quality, op10_packing)}
 
 # Checksums, tokenizer files and trained models have no counterpart in SQL; tests compare with brute force.
 ORACLES: dict[str, str] = {}
