@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gazette_lake.llm import (
-    binary, counting, decontamination, language, packing, quality, sharding, similarity, toxicity)
+    binary, counting, decontamination, language, packing, quality, secrets, sharding, similarity, toxicity)
 from gazette_lake.llm.common import benchmark, documents, labels, tokenizer_file
 
 WORDS, BYTES, SUBWORDS = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -35,6 +35,10 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(spark, sf_dir), tokenizer_file(SUBWORDS))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(documents(spark, sf_dir))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary.encode_to_files(documents(spark, sf_dir), tokenizer_file(WORDS), end_id=2)
 
@@ -48,7 +52,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op2_toxicity, op3_token_counts, op4_shards, op5_decontamination, op6_language, op8_token_files, op9_quality, op10_packing)}
+    f.__name__: f for f in (op1_ngram_jaccard, op2_toxicity, op3_token_counts, op4_shards, op5_decontamination, op6_language, op7_secrets, op8_token_files, op9_quality, op10_packing)}
 
 # Checksums, tokenizer files and trained models have no counterpart in SQL; tests compare with brute force.
 ORACLES: dict[str, str] = {}
