@@ -166,7 +166,8 @@ def classify(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD, reca
     source = source.withColumns(text_keys(F.col("text")))
     signed = _signed(source.select("doc_id", "text", "k1", "k2"), n, bands_for(threshold, recall, rows), rows)
     nodes = stage(signed.groupBy("k1", "k2").agg(
-        F.min("row").alias("node"), F.count("*").alias("n_copies"), F.max("n_grams").alias("n_grams")), "nodes")
+        F.min("row").alias("node"), F.min("doc_id").alias("least_id"), F.count("*").alias("n_copies"),
+        F.max("n_grams").alias("n_grams")), "nodes")
 
     banded = signed.join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
     banded = stage(banded.select(F.explode("bands").alias("key"), F.col("row").alias("node")), "banded")
@@ -194,14 +195,18 @@ def classify(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD, reca
         own_class = own_class.unionByName(connect(parts.select("key", "node").distinct()).withColumnRenamed("label", "class"))
     links = compared.groupBy("node").agg(F.sum("links").alias("n_links"))
     found = stage(nodes.join(own_class, "node", "left").join(links, "node", "left").select(
-        "k1", "k2", "n_copies", F.coalesce("class", "node").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "classes")
-
-    members = stage(signed.select("doc_id", "k1", "k2").join(found, ["k1", "k2"]), "members")
-    place = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("k1").alias("c"), F.col("k2").alias("d"))
-    firsts = members.groupBy("class").agg(F.min(place).alias("first"))
-    return members.join(firsts, "class").select(
-        "doc_id", F.col("first.b").alias("class_id"), "n_links", (F.col("n_copies") - 1).alias("n_copies"),
-        "k1", "k2", (place == F.col("first")).alias("is_first"))
+        "k1", "k2", "node", "least_id", "n_copies", F.coalesce("class", "node").alias("class"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links")), "found")
+
+    # A class's first document, worked out over texts, so that copies add nothing to a large class.
+    classes = stage(found.groupBy("class").agg(F.min("least_id").alias("class_id")), "classes")
+    named = stage(found.join(classes, "class"), "named")
+    leading = named.filter(F.col("least_id").eqNullSafe(F.col("class_id")))
+    leaders = stage(leading.groupBy("class").agg(F.min("node").alias("leader")), "leaders")
+    texts = stage(named.join(leaders, "class").select(
+        "k1", "k2", "class_id", "n_links", (F.col("n_copies") - 1).alias("n_copies"), (F.col("node") == F.col("leader")).alias("_leads")), "texts")
+    members = signed.select("doc_id", "k1", "k2").join(texts, ["k1", "k2"])
+    return members.withColumn("is_first", F.col("_leads") & F.col("doc_id").eqNullSafe(F.col("class_id"))).drop("_leads")
 
 
 def near_duplicates(docs: DataFrame, **settings) -> DataFrame:
