@@ -1,0 +1,347 @@
+"""The other operators beside brute force, on odd rows and small made cases."""
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+from tests_llm_rows import CLASH, ODD, prose
+
+from gazette_lake.llm import arrays, decontamination, language, quality, secrets, sharding, similarity, toxicity
+from gazette_lake.llm.common import tokenizer_file
+from gazette_lake.llm.components import connect
+from gazette_lake.session import stage
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+# --- sharding
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 64, 1000, 4097])
+def test_feistel_permutes(n):
+    f = sharding.Feistel(n, 5)
+    places = f(np.arange(n))
+    assert sorted(places) == list(range(n)) and (f.inverse(places) == np.arange(n)).all()
+
+
+def test_shards(spark, odd, none):
+    rows = sharding.shard(odd, 4).collect()
+    size = lambda t: (len((t or "").encode()) + 16, zlib.crc32((t or "").encode()))
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in rows) == Counter((i, *size(t)) for i, t in ODD)
+    slots = defaultdict(list)
+    for r in rows:
+        assert r.law == "rows" and r.grown_shard is None
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1 and len(slots) == 4
+    assert sharding.shard(none).count() == 0
+    again = sharding.shard(odd.repartition(3), 4).collect()
+    assert Counter(map(str, again)) == Counter(map(str, rows))  # equal rows only trade places
+
+
+def test_equal_rows_are_spread(spark):
+    rows = spark.range(4000).select(F.lit(1).alias("doc_id"), F.lit("same").alias("text")).repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        _, before = sharding.row_numbers(stage(rows, "same"), "doc_id", "text")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert before[-1] == 4000 and np.diff(before).max() < 4000
+
+
+# --- n-gram Jaccard join
+
+
+def shingles(text):
+    words = [w for w in re.split(r"[\x20\x09-\x0d]+", text or "") if w]
+    return {tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
+def expected_classes(rows):
+    texts = list({t for _, t in rows})
+    sets, parent, links = [shingles(t) for t in texts], list(range(len(texts))), Counter()
+
+    def find(x):
+        return x if parent[x] == x else find(parent[x])
+
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if sets[a] and sets[b] and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8:
+            parent[find(a)] = find(b)
+            links.update([texts[a], texts[b]])
+    place, least, copies = {t: i for i, t in enumerate(texts)}, {}, Counter(t for _, t in rows)
+    for i, t in rows:
+        root = find(place[t])
+        least[root] = min((x for x in (least.get(root), i) if x is not None), default=None)
+    return Counter((i, least[find(place[t])], links[t], copies[t] - 1) for i, t in rows)
+
+
+def near_copies(n, seed=3):
+    rng, base, rows = random.Random(seed), prose(150, 9).split(), []
+    for i in range(n):
+        words = list(base)
+        for _ in range(rng.randint(0, 8)):
+            words[rng.randrange(len(words))] = f"w{rng.randrange(10 ** 6)}"
+        rows.append((1000 + i, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("block", [1024, 16])
+def test_classes_and_links(spark, odd, none, monkeypatch, block):
+    monkeypatch.setattr(similarity, "BLOCK_TEXTS", block)
+    rows = ODD + near_copies(90)
+    docs = odd.select("doc_id", "text", *CLASH).unionByName(frame(spark, near_copies(90)), allowMissingColumns=True)
+    got = similarity.near_duplicates(docs).collect()
+    assert Counter(map(tuple, got)) == expected_classes(rows)
+    kept = similarity.without_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    firsts = Counter(r.doc_id for r in kept.select("doc_id").collect())
+    assert set(firsts) == {r.class_id for r in got}
+    assert all(n == (2 if i == 6 else 1) for i, n in firsts.items())  # two different texts have the id 6
+    if block == 16:
+        assert similarity.near_duplicates(none).count() == 0 and similarity.without_near_duplicates(none).count() == 0
+
+
+def test_bands_reach_their_recall():
+    assert 1 - (1 - 0.8 ** 5) ** similarity.bands_for(0.8, 0.9999, 5) >= 0.9999
+
+
+def test_long_chains_connect(spark):
+    rows = [(f"{i}", n) for i in range(60) for n in (i, i + 1)] + [("a", 100), ("a", 101), ("b", 200)]
+    got = dict(connect(stage(spark.createDataFrame(rows, "key string, node long"), "chain")).collect())
+    assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 200: 200}
+
+
+# --- toxicity
+
+
+def test_severity(spark, odd, none):
+    rng = random.Random(1)
+    rows = [(i, prose(60, i) + (" dreadfulx" if i % 4 == 0 else "") + (" awfulzy vile" if i % 8 == 0 else "")) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 8 != 0), int(i % 4 == 0)) for i in range(400) if rng.random() < 0.7] + [(None, 1, 1), (3, None, None)],
+                                   "doc_id long, quality int, toxic int")
+    docs = frame(spark, rows)
+    got = {r.doc_id: r for r in toxicity.score(docs, toxicity.grades(labels)).collect()}
+    assert len(got) == 400 and all(r.rejected == (i % 4 == 0) for i, r in got.items())
+    assert all(got[0].severity > got[4].severity > got[1].severity for _ in [0]) and got[0].grade == 2 and got[4].grade == 1
+    strange = toxicity.score(odd.union(odd), toxicity.grades(labels)).collect()
+    assert len(strange) == 2 * len(ODD)
+    assert toxicity.score(none, toxicity.grades(labels)).count() == 0
+    unlabelled = toxicity.score(docs, toxicity.grades(labels.limit(0))).collect()
+    assert not any(r.rejected or r.severity for r in unlabelled)
+    kept = toxicity.without_rejected(odd.select("doc_id", "text", "label"), toxicity.grades(labels))
+    assert kept.columns == ["doc_id", "text", "label"]
+
+
+def test_thresholds_are_ordered_and_weights_shared():
+    rng = np.random.default_rng(0)
+    grade = rng.integers(0, 3, 600)
+    rows, keys = [], []
+    for r, g in enumerate(grade):
+        for k in range(3):
+            if rng.random() < (0.1 + 0.4 * g):
+                rows.append(r)
+                keys.append(k)
+    model = toxicity.fit(np.array(rows), np.array(keys, np.uint64), grade)
+    assert len(model.thresholds) == 2 and model.thresholds[0] < model.thresholds[1] and (model.weights > 0).all()
+    above = model.above(np.array([-5.0, 0.0, 5.0]))
+    assert (np.diff(above, axis=1) <= 0).all() and (np.diff(above.sum(1)) > 0).all()
+
+
+# --- decontamination
+
+
+def edits_within(item, text):
+    """Plain edit distance of the item to its best part of the text."""
+    row = [0] * (len(text) + 1)
+    for i, word in enumerate(item):
+        new = [i + 1]
+        for j, other in enumerate(text):
+            new.append(min(row[j + 1] + 1, new[j] + 1, row[j] + (word != other)))
+        row = new
+    return min(row)
+
+
+def words_of(text):
+    return [w.lower() for w in re.findall(rb"[0-9A-Za-z\x80-\xff]+", (text or "").encode())]
+
+
+def test_passages(spark, odd, none):
+    rng = random.Random(8)
+    items = [(i, " ".join(f"{rng.choice(['ka', 'lo', 'mi'])}{rng.randrange(300)}" for _ in range(rng.randint(8, 50)))) for i in range(40)]
+    items += [(90, None), (91, ""), (None, "a b c"), (92, items[0][1])]
+    rows = []
+    for n in range(150):
+        words = items[rng.randrange(40)][1].split()
+        for _ in range(rng.randint(0, max(1, len(words) // 5))):
+            at, kind = rng.randrange(len(words)), rng.random()
+            words[at:at + (kind < 0.6)] = [] if kind < 0.3 else ["zq"]
+        rows.append((1000 + n, f"{prose(30, n)} {' '.join(words).upper()}! {prose(20, n + 1)}"))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = odd.select("doc_id", "text", *CLASH).unionByName(frame(spark, rows), allowMissingColumns=True)
+    want = {}
+    for i, t in rows:
+        for k, item in items:
+            words = words_of(item)
+            if k is not None and words and (n := edits_within(words, words_of(t))) <= int(0.15 * len(words)):
+                want[i, k] = n
+    got = {(r.doc_id, r.item_id): r for r in decontamination.find(docs, benchmark).collect()}
+    assert set(got) <= set(want) and len(got) >= 0.99 * len(want) > 60
+    texts = dict(rows)
+    for key, r in got.items():
+        assert r.edits == want[key]
+        passage = words_of(texts[r.doc_id][r.start:r.end])
+        assert edits_within(words_of(dict(items)[r.item_id]), passage) == r.edits
+    exact = {key for key, n in want.items() if n == 0}
+    assert exact <= set(got)
+    clean = decontamination.without_contaminated(docs, benchmark)
+    assert clean.columns == docs.columns
+    assert Counter(r.doc_id for r in clean.select("doc_id").collect()) == Counter(
+        i for i, _ in ODD + rows if i not in {k for k, _ in got})
+    assert decontamination.find(none, benchmark).count() == 0
+    assert decontamination.find(docs, benchmark.limit(0)).count() == 0
+
+
+# --- language
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    return language.Pieces(tokenizer_file("piece_bpe_32k.model"))
+
+
+def test_forward_sums_all_segmentations(pieces):
+    rng = np.random.default_rng(1)
+    p = rng.random((len(pieces) + 1, 2))
+    p /= p.sum(0)
+    p[-1] = 0
+    model, number = language.Model(["a", "b"], np.zeros(2), p), {s: i for i, s in enumerate(pieces.strings)}
+    words, _, _ = language.Words.of(*arrays.text_bytes(pa.array(["Hello world été über " + "the" * 30, "x" * 50])))
+    scores = model.word_scores(words, pieces, np.arange(len(words.keys)))
+    for k in range(len(words.keys)):
+        word = words.flat[words.starts[k]:words.starts[k] + words.lengths[k]].tobytes()
+        for column in range(2):
+            sums = [1.0] + [0.0] * len(word)
+            for b in range(1, len(word) + 1):
+                for a in range(b):
+                    if word[a:b] in number:
+                        sums[b] += sums[a] * p[number[word[a:b]], column]
+            assert scores[k, column] == pytest.approx(np.log(sums[-1]))
+
+
+def test_expected_counts_add_up(pieces):
+    flat = np.append(np.full(len(pieces), 1 / len(pieces)), 0)[:, None]
+    words, _, _ = language.Words.of(*arrays.text_bytes(pa.array(["some plain words"])))
+    total = language.Model(["a"], np.zeros(1), flat).expected(words, pieces, np.ones((3, 1)))
+    letters = sum(n * len(s) for n, s in zip(total[:, 0], pieces.strings))
+    assert letters == pytest.approx(words.lengths.sum())
+
+
+def test_languages(spark, odd, none):
+    rng, roots = random.Random(2), {"xx": "ka lo mi tu".split(), "yy": "sch ein ung tz".split()}
+    rows = [(i, " ".join("".join(rng.choices(roots[l], k=3)) for _ in range(30)), l) for i in range(200) for l in [rng.choice(["xx", "yy"])]]
+    docs = spark.createDataFrame(rows + [(500, "kalomi tukalo", None)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in language.identify(docs, tokenizer_file("piece_bpe_32k.model")).collect()}
+    assert all(got[i].held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i in got)
+    assert any(r.held_out for r in got.values()) and all(got[i].lang_pred == l for i, _, l in rows) and got[500].lang_pred == "xx"
+    both = docs.unionByName(odd.select("doc_id", "text", "lang", *CLASH), allowMissingColumns=True)
+    strange = [r for r in language.identify(both, tokenizer_file("piece_bpe_32k.model")).collect()]
+    assert len(strange) == 201 + len(ODD) and all(0 <= r.score <= 1 for r in strange)
+    undetermined = Counter(r.doc_id for r in strange if r.lang_pred == "und")
+    assert undetermined == Counter(i for i, t in ODD if not any(c.isalpha() for c in t or ""))
+    unlearned = language.identify(odd, tokenizer_file("piece_bpe_32k.model")).collect()
+    assert len(unlearned) == len(ODD) and {r.lang_pred for r in unlearned} == {"und"}
+    assert language.identify(none, tokenizer_file("piece_bpe_32k.model")).count() == 0
+
+
+# --- secrets
+
+ASSIGN = re.compile(r"""(?ia)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def base_spans(text):
+    found = []
+    for rank, (kind, pattern, fits) in enumerate((
+            ("assign", ASSIGN, lambda m: len(m[2]) >= 6), ("access", re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20),
+            ("hex", re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 24))):
+        found += [(m.start(), rank, f"{kind}:{m.start()}:{m.end()}") for m in pattern.finditer(text or "") if fits(m)]
+    return [name for *_, name in sorted(found)]
+
+
+def test_secrets(spark, odd, none):
+    rng = random.Random(5)
+    parts = ["secret", "token", "=", ":", " ", "'", "abc", "0123456789abcdef", "AKIA", "ABCDEFGHIJ", "\n", "é", "api_key", "x", "ſ", "😀"]
+    rows = [(i, "".join(rng.choice(parts) for _ in range(rng.randint(1, 40)))) for i in range(100, 500)]
+    rows += [(500, "token=0123456789abcdef0123456789 " * 600), (501, "secret=token:abcdef password=abc")]
+    docs = odd.select("doc_id", "text", *CLASH).unionByName(frame(spark, rows), allowMissingColumns=True)
+    got = secrets.scan(docs).collect()
+    want = Counter()
+    for i, t in ODD + rows:
+        spans = base_spans(t)
+        want[i, *[sum(s.startswith(k) for s in spans) for k in ("assign", "access", "hex")], hashlib.sha256(",".join(spans).encode()).hexdigest()] += 1
+    assert Counter((r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in got) == want
+    assert secrets.scan(none).count() == 0
+    masked = secrets.without_secrets(docs).collect()
+    assert Counter(r.doc_id for r in masked) == Counter(i for i, _ in ODD + rows)
+    assert not any(base_spans(r.text) for r in masked if r.doc_id != 501)
+    texts = {i: t for i, t in rows}
+    assert all(r.text == texts[r.doc_id] for r in masked if r.doc_id in texts and not next(g for g in got if g.doc_id == r.doc_id).spans)
+
+
+def test_random_strings_are_told_from_identifiers(spark):
+    rng, alphabet = random.Random(6), "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnpqrstuvwxyz0123456789"
+    key = lambda n: "".join(rng.choice(alphabet) for _ in range(n))
+    roots = "get set item value count index name list table inter nation ally frame work read write".split()
+    plain = lambda: " ".join("_".join(rng.choices(roots, k=4)) + " " + "".join(rng.choices(roots, k=3)) for _ in range(10))
+    rows = [(i, f"{prose(40, i)} password={key(24)} {plain()}") for i in range(200)]
+    rows += [(900, f"a {key(24)} and internationalisation_elements then ------------------------------")]
+    got = {r.doc_id: r for r in secrets.scan(frame(spark, rows)).collect()}
+    assert got[900].spans == "markov:2:26" and got[900].n_markov == 1
+    assert sum(got[i].n_markov for i in range(200)) == 0
+    kept = {r.doc_id: r.text for r in secrets.without_secrets(frame(spark, rows)).collect()}
+    assert kept[900] == "a [secret] and internationalisation_elements then ------------------------------"
+
+
+def test_scan_is_native(odd):
+    plan = secrets.scan(odd)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+# --- quality
+
+
+def base_counts(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    counts, covered = Counter(windows), set()
+    for i, window in enumerate(windows):
+        if counts[window] > 1:
+            covered |= {i, i + 1, i + 2}
+    n = len(words)
+    return (n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(covered),
+            n < 50 or 100 * len(covered) > 50 * n)
+
+
+def test_quality(spark, odd, none):
+    rng = random.Random(3)
+    rows = [(i + 100, prose(80, i) if i % 3 else " ".join(f"{w}***" for w in prose(80, i).split())) for i in range(300)]
+    rows += [(900 + i, "".join(rng.choice("ab \n#é\t") for _ in range(rng.randint(0, 80)))) for i in range(200)]
+    labels = spark.createDataFrame([(i + 100, int(i % 3 > 0)) for i in range(0, 300, 2)] + [(None, 1), (7777, None)], "doc_id long, quality int")
+    docs = odd.select("doc_id", "text", *CLASH).unionByName(frame(spark, rows), allowMissingColumns=True)
+    got = quality.assess(docs, labels).collect()
+    want = Counter((i, *base_counts(t)) for i, t in ODD + rows)
+    assert Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in got) == want
+    made = [r for r in got if r.doc_id is not None and 100 <= r.doc_id < 400 and not r.base_failed]
+    assert all(r.kept == ((r.doc_id - 100) % 3 > 0) for r in made)
+    assert not any(r.kept for r in got if r.base_failed)
+    assert quality.assess(none, labels).count() == 0
+    assert all(r.kept != r.base_failed for r in quality.assess(docs, labels.limit(0)).collect())
