@@ -23,7 +23,9 @@ from gazette_lake.functions.text import let
 SAMPLE = 20_000  # documents that labelled strings are taken from, about
 LEAST_RANDOM = 20  # characters of a run that is scored
 THRESHOLD = 0.4  # mean log-likelihood ratio from which a run is a secret
-SMOOTHING = 0.5
+UNIFORM = 0.05  # share of a character that no string had
+DISCOUNT = 2  # strings with a pair that count for nothing: among ordinary ones are some secrets
+BACKOFF = 10.0  # weight, in counted pairs, of how frequent the next character is by itself
 MASK = "[secret]"
 _BLOCK = 256
 _CODES = 128
@@ -127,11 +129,20 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Models:
     usual = [c for c in range(_CODES) if chr(c).isalnum() or chr(c) in "+/_=-."]
     ratios = [0.0] * (_CODES * _CODES)
     if any(label for label, _ in counts):
+        logs = {}
+        for label in (False, True):
+            single = {b: sum(counts.get((label, a * _CODES + b), 0) for a in usual) for b in usual}
+            whole = max(1, sum(single.values()))
+            for a in usual:
+                seen = {b: counts.get((label, a * _CODES + b), 0) for b in usual}
+                sure = {b: max(0, n - DISCOUNT) for b, n in seen.items()}
+                left = BACKOFF + sum(seen.values()) - sum(sure.values())
+                for b in usual:
+                    by_itself = (1 - UNIFORM) * single[b] / whole + UNIFORM / len(usual)
+                    logs[label, a, b] = log((sure[b] + left * by_itself) / (sum(seen.values()) + BACKOFF))
         for a in usual:
-            total = [sum(counts.get((label, a * _CODES + b), 0) for b in usual) + SMOOTHING * len(usual) for label in (False, True)]
             for b in usual:
-                plain, random = (counts.get((label, a * _CODES + b), 0) + SMOOTHING for label in (False, True))
-                ratios[a * _CODES + b] = log(random / total[1]) - log(plain / total[0])
+                ratios[a * _CODES + b] = logs[True, a, b] - logs[False, a, b]
     return Models(tuple(ratios))
 
 
