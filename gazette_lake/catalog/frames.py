@@ -22,6 +22,7 @@ def typed_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stored_index(spark: SparkSession, sf: str) -> DataFrame:
+    """(blob_key, vat, publication_number) of what is stored already."""
     return lake.index_from_paths(listing_data.lake_paths(listing_data.listing_rows(spark, sf)))
 
 

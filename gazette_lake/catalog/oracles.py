@@ -35,7 +35,7 @@ select cast(c_nationkey as varchar) as search_id, o_orderkey as k, c_custkey as
   cast(o_orderdate as date) as d,
   case when o_orderkey % 13 = 0 then 'NO ZIP HERE' else
     'STREET ' || c_custkey || ' ' || (1000 + c_custkey % 9000) || ' ' || n_name end as address,
-  case when o_orderkey % 43 = 0 then '' else '0' || substr(cast(471000000 + c_custkey as varchar), 1, 3) || '.' ||
+  case when o_orderkey % 43 = 0 then '' else case when o_orderkey % 41 = 0 then 'BE0' else '0' end || substr(cast(471000000 + c_custkey as varchar), 1, 3) || '.' ||
     substr(cast(471000000 + c_custkey as varchar), 4, 3) || '.' ||
     substr(cast(471000000 + c_custkey as varchar), 7) end as vat_raw,
   case when o_orderkey % 19 = 0 then 'n/a'
@@ -67,7 +67,7 @@ cte("typed", ["unpacked"], f"""
 select search_id, page, pos, k, ck, d, start_date, n_pdf,
   case when n_pdf = 1 then rel end as rel1,
   n_pdf = 2 as multiple_pdf,
-  cast(cast(nullif(replace(m_vat, '.', ''), '') as bigint) as varchar) as vat,
+  coalesce(cast(try_cast(replace(m_vat, '.', '') as bigint) as varchar), nullif(replace(m_vat, '.', ''), '')) as vat,
   case when n_pdf = 1 then cast(10000000 + k as varchar) end as pubid,
   m_act as act_description, 'CO ' || k as company_name,
   case when k % 3 = 0 then 'BV' else 'NV' end as company_juridical_form,
@@ -89,7 +89,7 @@ from raw_rows where k % 5 = 0
 """)
 
 cte("index_rows", ["lake_files"], """
-select string_split(path, '/')[1] as vat, replace(string_split(path, '/')[5], '.json', '') as publication_number
+select path as blob_key, string_split(path, '/')[1] as vat, replace(string_split(path, '/')[5], '.json', '') as publication_number
 from lake_files
 """)
 
@@ -108,7 +108,7 @@ select cut.*, ok as downloaded, path as file_path,
   case when below_cutoff then 'below_cutoff' when multiple_pdf then 'multiple_pdf' when rel1 is null then 'no_pdf'
     when exists (select 1 from index_rows i where i.vat = cut.vat and i.publication_number = cut.publication_number)
       then 'already_stored'
-    when not coalesce(ok, false) then 'robots' when pdate is null then 'no_date'
+    when ok is null then 'not_fetched' when not ok then 'robots' when pdate is null then 'no_date'
     when vat is null or publication_number is null then 'missing_key' end as reject_reason
 from cut left join results on results.url = cut.publication_link
 """)
@@ -240,11 +240,13 @@ select {_KEY} as blob_key, k, vat, publication_number, pubid, company_name, zipc
 from typed where vat is not null and pdate is not null and rel1 is not null
 """)
 
-cte("fetched_counts", ["listing"], """
-select search_id, page, n_blocks from (
-  select search_id, page, count(*) as n_blocks, max(page) over (partition by search_id) as last
-  from listing group by search_id, page)
+cte("fetched_counts", ["all_counts"], """
+select search_id, page, n_blocks from (select *, max(page) over (partition by search_id) as last from all_counts)
 where cast(search_id as integer) % 2 = 0 or page < last
+""")
+
+cte("all_counts", ["listing"], """
+select search_id, page, count(*) as n_blocks from listing group by search_id, page
 union all
 select search_id, cast(max(page) + 1 as integer), 0 from listing where cast(search_id as integer) % 4 = 0 group by search_id
 """)
@@ -253,8 +255,8 @@ _PDF_LINKS = """case n_pdf when 0 then '' when 1 then '<a href="' || rel || '">p
   else '<a href="' || rel || '">pdf</a><a href="/dup.pdf">pdf</a>' end"""
 _META = """case arity when 3 then [vat_raw, 'ACT', pub_raw]
   when 6 then [address, vat_raw, 'ACT', pub_raw, 'e1', 'e2'] else [address, vat_raw, 'ACT', pub_raw] end"""
-_BLOCK = f"""'<div class="c"><p> <font>CO ' || k || '</font> ' || case when k % 3 = 0 then 'BV' else 'NV' end ||
-  ' <br></p><a href="/x.html">' || array_to_string({_META}, ' <br>' || chr(10) || ' ') || '</a>' || {_PDF_LINKS} || '</div></div>'"""
+_BLOCK = f"""'<div class="c">' || case when k % 6 = 0 then '<p>note</p>' else '' end || '<p> <font>CO ' || k || '</font> ' || case when k % 3 = 0 then 'BV' else 'NV' end ||
+  ' <br></p><a href="/x.html">' || replace(array_to_string({_META}, ' <br>' || chr(10) || ' '), 'ACT', case when k % 5 = 0 then '&#00000065;&#x0000043;T' else 'ACT' end) || '</a>' || {_PDF_LINKS} || '</div></div>'"""
 
 cte("html_rows", ["listing"], f"select *, {_BLOCK} as block, {_META} as meta from listing")
 
@@ -273,11 +275,11 @@ def oracle(name: str, needs: list[str], select: str) -> None:
 
 _AT = "search_id, page, pos"
 
-oracle("scan_pages", ["fetched_counts", "html_pages"], """
+oracle("scan_pages", ["all_counts", "html_pages"], """
 select f.search_id, f.page, 'https://gazette.example/list?s=' || f.search_id || '&p=' ||
     case when n_blocks = 0 then f.page - 1 else f.page end as url,
   case when n_blocks = 0 then 25 else length(html) end as n_chars
-from fetched_counts f left join html_pages h on f.search_id = h.search_id and f.page = h.page
+from all_counts f left join html_pages h on f.search_id = h.search_id and f.page = h.page
 """)
 oracle("scan_ocr", ["ocr_pages", "ocr_lines"], """
 select cast(p.doc_id as varchar) as doc_id, cast(p.page_idx as integer) as page_idx, cast(8.5 as double) as width,
@@ -319,7 +321,14 @@ from (select *, row_number() over (partition by search_id order by page desc) as
     strftime(date '2024-01-01' + cast(search_id as integer), '%Y-%m-%d') as day from fetched_counts)
 where r = 1 and n_blocks = 100
 """)
-oracle("blocks_per_page", ["fetched_counts"], "select search_id, page, n_blocks from fetched_counts")
+oracle("blocks_per_page", ["all_counts"], "select search_id, page, n_blocks from all_counts")
+oracle("scan_pdf_manifest", ["raw_rows"], """
+select 'file:///data/pdfs' || replace(rel, '/tsv_pdf', '') as path, strftime(d, '%Y-%m-%d') as day, 1000 + k % 9000 as n_bytes
+from raw_rows where k % 37 <> 0 and k % 29 <> 0
+""")
+oracle("not_downloaded", ["typed"], f"""
+select {_AT}, publication_link from typed where publication_link is not null and (k % 37 = 0 or k % 29 = 0)
+""")
 oracle("gather_pages", ["listing"], f"select {_AT}, search_pos, 'CO ' || k as company_name from listing")
 oracle("lake_index", ["index_rows"], "select vat, publication_number from index_rows")
 
@@ -353,7 +362,7 @@ select k, case when n_pdf = 1 then regexp_extract(rel, '([^/]+)[.]pdf$', 1) end
 """)
 oracle("vat_clean", ["raw_rows"], "select k, nullif(replace(vat_raw, '.', ''), '') as vat from raw_rows")
 oracle("vat_normalize", ["raw_rows"], """
-select k, cast(cast(nullif(replace(vat_raw, '.', ''), '') as bigint) as varchar) as vat,
+select k, cast(try_cast(replace(vat_raw, '.', '') as bigint) as varchar) as vat,
   cast(try_cast(address as bigint) as varchar) as not_a_number
 from raw_rows
 """)
@@ -434,7 +443,7 @@ from typed left join results on url = publication_link
 """)
 oracle("reject_download", ["typed", "results"], f"""
 select {_AT}, 'robots' as obeying, 'download_failed' as ignoring
-from typed left join results on url = publication_link where rel1 is not null and not coalesce(ok, false)
+from typed join results on url = publication_link where rel1 is not null and not ok
 """)
 oracle("reject_no_date", ["decided"], f"""
 select {_AT}, publication_link as detail from decided where reject_reason = 'no_date'
@@ -509,22 +518,32 @@ select blob_key, text, ingest_seq from (
 oracle("select_by_tag", ["records"], """
 select blob_key, vat, publication_date, 'unprocessed' as status from records where cast(pubid as bigint) % 3 <> 0
 """)
-oracle("lake_counts", ["index_rows"], "select count(distinct vat) as companies, count(*) as publications from index_rows")
+oracle("lake_counts", ["records"], "select count(distinct vat) as companies, count(distinct blob_key) as publications from records")
 oracle("new_companies", ["records", "index_rows"], """
 select distinct vat from records where vat not in (select vat from index_rows)
 """)
 oracle("run_report", ["records", "index_rows"], """
 , added as (select distinct vat from records where vat not in (select vat from index_rows)),
-totals as (select 'run-1' as run_id, (select count(*) from added) as new_companies, (select count(*) from records) as new_publications)
+totals as (select 'run-1' as run_id, (select count(*) from added) as new_companies, (
+  select count(distinct blob_key) from records where blob_key not in (select blob_key from index_rows)) as new_publications)
 select run_id, new_companies, new_publications, vat as company from totals left join added on true
 """)
 oracle("publications", ["published"], "select * from published")
-oracle("stream_ingest", ["cut", "results", "texts"], f"""
-select {_KEY} as blob_key, pubid, company_juridical_form, zipcode, text, is_digital, cast(0 as bigint) as ingest_seq,
+def _ingested(ingest_seq: str) -> str:
+    """The lake after all runs; a search whose last page is full still waits for the next one."""
+    return f"""
+select {_KEY} as blob_key, pubid, company_juridical_form, zipcode, text, is_digital, cast({ingest_seq} as bigint) as ingest_seq,
   cast(year(pdate) as integer) as pub_year, cast(month(pdate) as integer) as pub_month
 from cut join results on url = publication_link left join texts on texts.doc_no = k // 15
 where not below_cutoff and ok and pdate is not null and vat is not null
-""")
+  and search_id in (select search_id from all_counts group by search_id having arg_max(n_blocks, page) <> 100)
+"""
+
+
+_INGEST = ["cut", "results", "texts", "all_counts"]
+oracle("stream_ingest", _INGEST, _ingested("0"))
+oracle("ingest_late_text", _INGEST, _ingested("(k // 15) % 2"))
+oracle("ingest_unfinished_search", _INGEST, _ingested("case when cast(search_id as integer) % 2 = 1 then 2 else 0 end"))
 
 _PUBLISHED_JSON = """cast(to_json(struct_pack(
   vat := vat, pubid := pubid, act_description := act_description, company_name := company_name,

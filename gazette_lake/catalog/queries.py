@@ -42,7 +42,7 @@ def _parts(spark, sf):
 
 @query
 def scan_pages(spark, sf):
-    pages = listing_data.fetched_pages(listing_data.listing(spark, sf))
+    pages = listing_data.crawled_pages(listing_data.listing(spark, sf))
     folder = new_folder(spark, "pages")
     pages.write.parquet(folder)
     return landed.read_pages(spark, folder).select(
@@ -72,8 +72,19 @@ def scan_digital_layout(spark, sf):
 
 @query
 def scan_pdf_manifest(spark, sf):
-    return landed.read_pdf_manifest(spark, sf, "*.parquet").select(
-        F.regexp_extract("path", "[^/]+$", 0).alias("file"), "n_bytes")
+    return _manifest(spark, sf).select("path", _day("modified").alias("day"), "n_bytes")
+
+
+def _manifest(spark, sf):
+    folder = new_folder(spark, "manifest")
+    listing_data.pdf_manifest(listing_data.listing_rows(spark, sf)).write.parquet(folder)
+    return landed.read_pdf_manifest(spark, folder)
+
+
+@query
+def not_downloaded(spark, sf):
+    rows = frames.typed_rows(spark, sf).filter("publication_link is not null")
+    return stored.not_downloaded(rows, _manifest(spark, sf), "/data/pdfs").select("search_id", "page", "pos", "publication_link")
 
 
 @query
@@ -112,7 +123,7 @@ def frontier_next_page(spark, sf):
 
 @query
 def blocks_per_page(spark, sf):
-    pages = listing_data.fetched_pages(listing_data.listing(spark, sf))
+    pages = listing_data.crawled_pages(listing_data.listing(spark, sf))
     return frontier.blocks_per_page(pages).select("search_id", "page", "n_blocks")
 
 
@@ -121,12 +132,12 @@ def gather_pages(spark, sf):
     pages = listing_data.result_pages(listing_data.listing(spark, sf))
     placed = blocks.gather(blocks.page_blocks(pages))
     return placed.select(
-        "search_id", "page", "pos", "search_pos", html.company_name(html.paragraph(F.col("block"))).alias("company_name"))
+        "search_id", "page", "pos", "search_pos", html.company_name(html.paragraphs(F.col("block"))).alias("company_name"))
 
 
 @query
 def lake_index(spark, sf):
-    return frames.stored_index(spark, sf)
+    return frames.stored_index(spark, sf).select("vat", "publication_number")
 
 
 # Blocks of a page
@@ -157,13 +168,13 @@ def page_links(spark, sf):
 @query
 def html_company_name(spark, sf):
     return _blocks(spark, sf).select(
-        "search_id", "page", "pos", html.company_name(html.paragraph(F.col("block"))).alias("company_name"))
+        "search_id", "page", "pos", html.company_name(html.paragraphs(F.col("block"))).alias("company_name"))
 
 
 @query
 def html_juridical_form(spark, sf):
     return _blocks(spark, sf).select(
-        "search_id", "page", "pos", html.juridical_form(html.paragraph(F.col("block"))).alias("juridical_form"))
+        "search_id", "page", "pos", html.juridical_form(html.paragraphs(F.col("block"))).alias("juridical_form"))
 
 
 @query
@@ -521,29 +532,32 @@ def latest_by_key(spark, sf):
 
 @query
 def select_by_tag(spark, sf):
-    status = F.when(F.col("pubid").cast("bigint") % 3 == 0, "summarized").otherwise(F.col("status"))
-    tagged = frames.plain_records(spark, sf).withColumn("status", status)
-    return lake.select_by_tag(tagged).select("blob_key", "vat", "publication_date", "status")
+    first = frames.plain_records(spark, sf)
+    done = sinks.mark_status(first.filter("cast(pubid as bigint) % 3 = 0"), "summarized", 2)
+    return lake.select_by_tag(first.unionAll(done)).select("blob_key", "vat", "publication_date", "status")
 
 
 @query
 def lake_counts(spark, sf):
-    return lake.lake_counts(frames.stored_index(spark, sf))
+    first = frames.plain_records(spark, sf)
+    again = sinks.mark_status(first.filter("cast(pubid as bigint) % 4 = 0"), "summarized", 2)
+    return lake.lake_counts(first.unionAll(again).select("blob_key", "vat"))
 
 
-def _after(spark, sf):
-    return frames.plain_records(spark, sf).select("vat", "publication_number").unionAll(
-        frames.stored_index(spark, sf))
+def _added(spark, sf):
+    """Records of a run, some of them written twice."""
+    records = frames.plain_records(spark, sf).select("blob_key", "vat")
+    return records.unionAll(records.filter("substr(vat, -1) = '7'"))
 
 
 @query
 def new_companies(spark, sf):
-    return stored.new_companies(frames.stored_index(spark, sf), _after(spark, sf))
+    return stored.new_companies(frames.stored_index(spark, sf), _added(spark, sf))
 
 
 @query
 def run_report(spark, sf):
-    return reports.run_report(frames.stored_index(spark, sf), _after(spark, sf), "run-1")
+    return reports.run_report(frames.stored_index(spark, sf), _added(spark, sf), "run-1")
 
 
 @query
@@ -554,16 +568,49 @@ def publications(spark, sf):
 @query
 def stream_ingest(spark, sf):
     out = new_folder(spark, "stream")
-    listing_data.result_pages(listing_data.listing(spark, sf)).write.parquet(f"{out}/pages")
-    run = ingest_stream(
-        spark, f"{out}/pages", frames.fetched(spark, sf), frames.extractions(spark, sf), f"{out}/tables", frames.RULES)
+    listing_data.crawled_pages(listing_data.listing(spark, sf)).write.parquet(f"{out}/pages")
+    _ingest(spark, sf, out, frames.extractions(spark, sf))
+    return _ingested(spark, out)
+
+
+def _ingest(spark, sf, out, texts):
+    run = ingest_stream(spark, f"{out}/pages", frames.fetched(spark, sf), texts, f"{out}/tables", frames.RULES)
     run.awaitTermination()
     if run.exception():
         raise run.exception()
+
+
+def _ingested(spark, out):
     return lake.latest(landed.read_lake(spark, f"{out}/tables/lake")).select(
         "blob_key", "pubid", "company_juridical_form", "zipcode", "text", "is_digital", "ingest_seq", "pub_year", "pub_month")
 
 
+@query
+def ingest_late_text(spark, sf):
+    """Texts of every other document land after the pages' run."""
+    out = new_folder(spark, "late")
+    listing_data.crawled_pages(listing_data.listing(spark, sf)).write.parquet(f"{out}/pages")
+    pdfs = listing_data.pdf_documents(listing_data.listing_rows(spark, sf)).filter("cast(doc_id as bigint) % 2 = 0")
+    texts = stage(frames.extractions(spark, sf), "texts")
+    _ingest(spark, sf, out, texts.join(pdfs.select("publication_link"), "publication_link", "left_semi"))
+    _ingest(spark, sf, out, texts)
+    return _ingested(spark, out)
+
+
+@query
+def ingest_unfinished_search(spark, sf):
+    """Last pages of every other search land one run later."""
+    out = new_folder(spark, "unfinished")
+    listed = stage(listing_data.listing(spark, sf), "listed")
+    texts = stage(frames.extractions(spark, sf), "texts")
+    whole, first = stage(listing_data.crawled_pages(listed), "whole"), stage(listing_data.fetched_pages(listed), "first")
+    first.write.parquet(f"{out}/pages")
+    _ingest(spark, sf, out, texts)
+    whole.join(first, ["search_id", "page"], "left_anti").write.mode("append").parquet(f"{out}/pages")
+    _ingest(spark, sf, out, texts)
+    return _ingested(spark, out)
+
+
 # Prompts
 
 

@@ -35,7 +35,7 @@ def listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "case when k % 13 = 0 then 'NO ZIP HERE' else concat('STREET ', cast(ck as string), ' ', "
         "cast(1000 + ck % 9000 as string), ' ', n_name) end as address",
         "case when k % 43 = 0 then '' else "
-        f"concat('0', substr({digits}, 1, 3), '.', substr({digits}, 4, 3), '.', substr({digits}, 7)) end as vat_raw",
+        f"concat(case when k % 41 = 0 then 'BE0' else '0' end, substr({digits}, 1, 3), '.', substr({digits}, 4, 3), '.', substr({digits}, 7)) end as vat_raw",
         "case when k % 19 = 0 then 'n/a' when k % 17 = 0 "
         "then concat(date_format(d, 'yyyy'), ' / ', lpad(cast(k as string), 7, '0')) "
         "else concat(cast(d as string), ' / ', lpad(cast(k as string), 7, '0')) end as pub_raw",
@@ -93,10 +93,13 @@ def result_pages(listed: DataFrame) -> DataFrame:
     pdf = lambda target: F.concat(F.lit('<a href="'), target, F.lit('">pdf</a>'))
     links = F.when(F.col("n_pdf") == 0, F.lit("")).when(F.col("n_pdf") == 1, pdf(F.col("rel"))).otherwise(
         F.concat(pdf(F.col("rel")), pdf(F.lit("/dup.pdf"))))
+    note = F.when(F.col("k") % 6 == 0, "<p>note</p>").otherwise("")
+    meta = F.array_join(meta_array(), " <br>\n ")
+    padded = F.when(F.col("k") % 5 == 0, F.replace(meta, F.lit("ACT"), F.lit("&#00000065;&#x0000043;T"))).otherwise(meta)
     block = F.concat(
-        F.lit('<div class="list-item"><div class="c"><p> <font>CO '), F.col("k").cast("string"),
+        F.lit('<div class="list-item"><div class="c">'), note, F.lit("<p> <font>CO "), F.col("k").cast("string"),
         F.lit("</font> "), F.when(F.col("k") % 3 == 0, "BV").otherwise("NV"),
-        F.lit(' <br></p><a href="/x.html">'), F.array_join(meta_array(), " <br>\n "), F.lit("</a>"),
+        F.lit(' <br></p><a href="/x.html">'), padded, F.lit("</a>"),
         links, F.lit("</div></div>"),
     )
     blocks = listed.select("search_id", "page", F.struct("pos", block.alias("block")).alias("_b"))
@@ -112,18 +115,23 @@ def result_pages(listed: DataFrame) -> DataFrame:
 
 
 def fetched_pages(listed: DataFrame) -> DataFrame:
-    """``result_pages`` in the middle of a crawl: odd searches still lack their last page,
-    every fourth one has an empty page behind its last."""
+    """``crawled_pages`` in the middle of a crawl: odd searches still lack their last page."""
+    pages = stage(crawled_pages(listed), "crawled")
+    last = pages.groupBy("search_id").agg(F.max("page").alias("_last"))
+    lacking = last.filter(F.col("search_id").cast("int") % 2 == 1).select("search_id", F.col("_last").alias("page"))
+    return pages.join(lacking, ["search_id", "page"], "left_anti")
+
+
+def crawled_pages(listed: DataFrame) -> DataFrame:
+    """``result_pages``, and behind the last page of every fourth search an empty one."""
     listed = stage(listed, "listed")
     last = listed.groupBy("search_id").agg(F.max("page").alias("_last"))
     number = F.col("search_id").cast("int")
-    blocks = listed.join(last, "search_id").filter((number % 2 == 0) | (F.col("page") < F.col("_last")))
-    pages = result_pages(blocks)
     behind = last.filter(number % 4 == 0).select(
         "search_id", (F.col("_last") + 1).alias("page"), F.lit(None).cast("string").alias("search_vat"),
         F.lit("1997-07-01").cast("date").alias("start_date"), _page_url(F.col("_last")).alias("url"),
         F.lit("<html><body><main></main>").alias("html"))
-    return pages.unionAll(behind)
+    return result_pages(listed).unionAll(behind)
 
 
 def lake_paths(rows: DataFrame) -> DataFrame:
@@ -140,6 +148,15 @@ def fetch_results(rows: DataFrame) -> DataFrame:
         url.alias("url"), F.expr("k % 29 <> 0").alias("ok"), urls.store_path(url).alias("path"))
 
 
+def pdf_manifest(rows: DataFrame) -> DataFrame:
+    """Files of the pdfs that were fetched, as a file system lists them."""
+    stored = fetch_results(rows.select("*")).filter("ok").select("path")
+    numbered = rows.select(urls.store_path(urls.absolute_url(F.col("rel"))).alias("path"), "k", "d").join(stored, "path")
+    return numbered.select(
+        F.concat(F.lit("file:///data/pdfs"), "path").alias("path"), F.col("d").cast("timestamp").alias("modified"),
+        (1000 + F.col("k") % 9000).cast("bigint").alias("n_bytes"))
+
+
 def pdf_documents(rows: DataFrame) -> DataFrame:
     """Which document is behind a pdf: fifteen publications share one."""
     return rows.select(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gazette_lake.fixed import SPACES
 
-_ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
+_ENTITY = r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);"
 
 
 def strip(text: Column) -> Column:
@@ -31,7 +31,7 @@ def let(value: Column, body) -> Column:
 
 def after_first(items: Column) -> Column:
     """The array without its first element."""
-    return F.slice(items, F.lit(2), F.lit(1 << 30))
+    return F.slice(items, F.lit(2), F.size(items))
 
 
 def previous(items: Column) -> Column:
@@ -45,15 +45,14 @@ def _code_point(number: Column) -> Column:
 
 
 def _decode_one(entity: Column) -> Column:
-    body = F.substring(entity, 2, 1 << 20)
-    body = F.regexp_replace(body, ";$", "")
+    body = F.regexp_extract(entity, "^&(.*);$", 1)
     names = F.from_json(
         F.lit("{" + ",".join(f'"{name}":{point}' for name, point in name2codepoint.items()) + "}"),
         "map<string,bigint>",
     )
-    number = (
-        F.when(body.rlike("^#[xX]"), F.conv(F.substring(body, 3, 8), 16, 10).cast("bigint"))
-        .when(body.startswith("#"), F.expr("1L") * F.substring(body, 2, 8).try_cast("bigint"))
+    number = (  # any number of digits; what is too large for a whole number is no character
+        F.when(body.rlike("^#[xX]"), F.conv(F.regexp_extract(body, "^#[xX]0*(.*)$", 1), 16, 10).try_cast("bigint"))
+        .when(body.startswith("#"), F.regexp_extract(body, "^#(.*)$", 1).try_cast("bigint"))
         .otherwise(F.try_element_at(names, body))
     )
     return F.coalesce(_code_point(number), entity)

@@ -27,20 +27,21 @@ def gather(blocks: DataFrame, name: str = "search_pos") -> DataFrame:
 
 def block_parts(blocks: DataFrame) -> DataFrame:
     """Raw parts of a block in place of its HTML."""
-    block, paragraph = F.col("block"), F.col("_paragraph")
-    return blocks.withColumn("_paragraph", html.paragraph(block)).withColumns({
+    block, paragraphs = F.col("block"), F.col("_paragraphs")
+    return blocks.withColumn("_paragraphs", html.paragraphs(block)).withColumns({
         "urls": html.link_targets(block),
-        "company_name": html.company_name(paragraph),
-        "company_juridical_form": html.juridical_form(paragraph),
+        "company_name": html.company_name(paragraphs),
+        "company_juridical_form": html.juridical_form(paragraphs),
         "meta": html.metadata(block),
-    }).drop("block", "_paragraph")
+    }).drop("block", "_paragraphs")
 
 
 def typed_fields(parts: DataFrame, normalize: bool = True) -> DataFrame:
     """Typed fields of block parts.  Expects ``search_vat`` (null for a search by day).
 
     ``normalize`` stores company numbers without leading zeros, whichever search found
-    them; without it a number read from a page keeps its zeros.
+    them; without it a number read from a page keeps its zeros.  A text on a page that is no
+    number is kept as it stands.
     """
     unpacked = parts.withColumns({
         f"_{name}": column for name, column in fields.unpack_meta(F.col("meta")).items()})
@@ -49,7 +50,7 @@ def typed_fields(parts: DataFrame, normalize: bool = True) -> DataFrame:
         "rel": urls.only_pdf(F.col("urls")),
         "multiple_pdf": urls.has_several_pdfs(F.col("urls")),
         "vat": fields.effective_vat(
-            F.col("search_vat"), fields.normalize_vat(page_vat) if normalize else page_vat),
+            F.col("search_vat"), F.coalesce(fields.normalize_vat(page_vat), page_vat) if normalize else page_vat),
         "_place": fields.address_parts(F.col("_address")),
         "publication_date": fields.publication_date(F.col("_date_number")),
         "publication_number": fields.publication_number(F.col("_date_number")),

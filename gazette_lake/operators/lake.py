@@ -36,20 +36,22 @@ def latest(lake: DataFrame, tie: list[str] | None = None) -> DataFrame:
 
 
 def index_from_paths(paths: DataFrame, path: str = "path") -> DataFrame:
-    """(vat, publication_number) out of bare paths: first part and stem."""
+    """(blob_key, vat, publication_number) out of bare paths: the path, its first part and its stem."""
     parts = F.split(F.col(path), "/", -1)
     return paths.select(
+        F.col(path).alias("blob_key"),
         F.when(F.size(parts) > 1, F.get(parts, F.lit(0))).alias("vat"),
         path_stem(F.col(path)).alias("publication_number"))
 
 
 def lake_counts(index: DataFrame) -> DataFrame:
-    """Number of companies and of publications."""
-    return index.agg(F.count_distinct("vat").alias("companies"), F.count(F.lit(1)).alias("publications"))
+    """Number of companies and of publications.  A publication is a key, however often it was written."""
+    return index.agg(F.count_distinct("vat").alias("companies"), F.count_distinct("blob_key").alias("publications"))
 
 
 def select_by_tag(lake: DataFrame, status: str = UNPROCESSED) -> DataFrame:
-    return lake.filter(F.col("status") == status)
+    """Records whose newest version has the status."""
+    return latest(lake).filter(F.col("status") == status)
 
 
 def with_tags(lake: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ def not_stored_prefix(rows: DataFrame, index: DataFrame) -> DataFrame:
 
 def new_companies(before: DataFrame, after: DataFrame) -> DataFrame:
     """Companies of ``after`` that ``before`` does not have, each once."""
-    return after.select("vat").distinct().join(before.select("vat"), "vat", "left_anti")
+    return after.select("vat").distinct().join(before.select("vat").distinct(), "vat", "left_anti")
 
 
 def not_downloaded(rows: DataFrame, manifest: DataFrame, root: str) -> DataFrame:

@@ -21,6 +21,11 @@ PUBLICATION = f"{RECORD}, text string, is_digital boolean"
 SEEDS = "search_id string, vat string, start_date date, end_date date"
 PAGES = "search_id string, page int, search_vat string, start_date date, url string, html string"
 BLOCKS = "search_id string, page int, pos int, block string"
+TYPED = (
+    "search_id string, search_vat string, start_date date, page int, pos int, rel string, multiple_pdf boolean, vat string, "
+    "pubid string, act_description string, company_name string, company_juridical_form string, address string, street string, "
+    "zipcode string, city string, publication_date date, publication_number string, publication_link string"
+)
 FETCH_RESULTS = "url string, ok boolean, path string"
 
 _PIECE = "struct<content:string, polygon:array<struct<x:double, y:double>>>"
@@ -37,6 +42,7 @@ LAKE = (
     "ingest_seq bigint, pub_year int, pub_month int"
 )
 REJECTS = "search_id string, page int, pos int, detail string, ingest_seq bigint, reject_reason string"
+PDF_MANIFEST = "path string, modified timestamp, n_bytes bigint"
 PROMPTS = "blob_key string, messages array<struct<role:string, content:string>>"
 COMPLETIONS = "blob_key string, summary string"
 DOCUMENTS = f"publication_link string, doc_id string, pages {OCR_PAGES}, geometry {GEOMETRY}, page_texts array<string>"

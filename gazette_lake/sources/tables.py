@@ -8,11 +8,8 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Give heavy per-row work a task per core when a small input has fewer splits than that.
+    """Deal rows out to a task per core, before heavy work on each; always, whatever the input's size.
 
-    An input with at least as many splits as cores is left as it is: no shuffle.
+    For derived test inputs, whose files have fewer splits than there are cores.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= cores:
-        return rows
-    return rows.repartition(cores, *keys)
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, *keys)

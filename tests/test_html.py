@@ -14,6 +14,7 @@ PAGE = """<!DOCTYPE html><html><body><a href="/nav.pdf">nav</a><main>
 <div class="list-item">only text</div>
 <div class="list-item"><div><p>no font</p><a href=/bare.pdf> <br>v<!-- c -->w</a></div></div>
 <div class="list-item"><p>nothing inside</p></div>
+<div class="list-item"><div><p>note</p><p><font></font><font>CO &#0000000065;&#x000041;&#99999999999999999999;</font> BV</p></div></div>
 </main><footer><a href="/foot.pdf">f</a></footer>"""
 
 
@@ -25,7 +26,7 @@ def parsed(spark):
 
 
 def test_blocks_need_an_element_and_end_with_the_list(parsed):
-    assert [(r.page, r.pos) for r in parsed] == [(1, 1), (1, 2), (1, 3)]
+    assert [(r.page, r.pos) for r in parsed] == [(1, 1), (1, 2), (1, 3), (1, 4)]
 
 
 def test_links(parsed):
@@ -41,6 +42,11 @@ def test_name_and_form(parsed):
     assert parsed[2].company_name is None and parsed[2].company_juridical_form == ""
 
 
+def test_any_paragraph_counts_and_references_have_any_length(parsed):
+    assert parsed[3].company_name == "CO AA&#99999999999999999999;"
+    assert parsed[3].company_juridical_form == "BV"
+
+
 def test_metadata_keeps_blank_texts_and_skips_child_elements(parsed):
     assert parsed[0].meta == ["STREET 1 1000 CITY", "0471.938.850", "ACT", "2024-06-05 / 0402585"]
     assert parsed[1].meta == ["", "v", "w"]

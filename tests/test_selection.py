@@ -139,7 +139,7 @@ REASONS = [
     ((False, False, None, True, False, None, None, None), "no_pdf"),
     ((False, False, "r", True, False, None, None, None), "already_stored"),
     ((False, False, "r", False, False, None, None, None), "robots"),
-    ((False, False, "r", False, None, None, None, None), "robots"),
+    ((False, False, "r", False, None, None, None, None), "not_fetched"),
     ((False, False, "r", False, True, None, None, None), "no_date"),
     ((False, False, "r", False, True, date(2020, 1, 1), "", "1"), "missing_key"),
     ((False, False, "r", False, True, date(2020, 1, 1), "1", None), "missing_key"),
@@ -181,13 +181,14 @@ def test_latest_with_a_hot_key(spark):
 
 def test_index_from_paths(spark):
     paths = spark.createDataFrame([("0471/2020/01/02/0007.json",), ("lonely.json",)], "path string")
-    assert {tuple(r) for r in lake.index_from_paths(paths).collect()} == {("0471", "0007"), (None, "lonely")}
+    assert {tuple(r) for r in lake.index_from_paths(paths).collect()} == {
+        ("0471/2020/01/02/0007.json", "0471", "0007"), ("lonely.json", None, "lonely")}
 
 
 def test_run_report(spark):
-    schema = "vat string, publication_number string"
+    schema = "vat string, blob_key string"
     before = spark.createDataFrame([("1", "a"), ("2", "b")], schema)
-    after = spark.createDataFrame([("1", "a"), ("2", "b"), ("1", "c"), ("3", "d"), ("4", "e")], schema)
+    after = spark.createDataFrame([("1", "a"), ("1", "c"), ("3", "d"), ("3", "d"), ("4", "e")], schema)
     rows = lambda a, b, **k: sorted(tuple(r) for r in reports.run_report(a, b, "r", **k).collect())
     assert rows(before, after) == [("r", 2, 3, "3"), ("r", 2, 3, "4")]
     assert rows(before, before) == [("r", 0, 0, None)]
