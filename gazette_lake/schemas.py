@@ -42,6 +42,7 @@ LAKE = (
     "ingest_seq bigint, pub_year int, pub_month int"
 )
 REJECTS = "search_id string, page int, pos int, detail string, ingest_seq bigint, reject_reason string"
+REPORTS = "run_id string, new_companies bigint, new_publications bigint, company string, ingest_seq bigint"
 PDF_MANIFEST = "path string, modified timestamp, n_bytes bigint"
 PROMPTS = "blob_key string, messages array<struct<role:string, content:string>>"
 COMPLETIONS = "blob_key string, summary string"

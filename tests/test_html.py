@@ -14,7 +14,7 @@ PAGE = """<!DOCTYPE html><html><body><a href="/nav.pdf">nav</a><main>
 <div class="list-item">only text</div>
 <div class="list-item"><div><p>no font</p><a href=/bare.pdf> <br>v<!-- c -->w</a></div></div>
 <div class="list-item"><p>nothing inside</p></div>
-<div class="list-item"><div><p>note</p><p><font></font><font>CO &#0000000065;&#x000041;&#99999999999999999999;</font> BV</p></div></div>
+<div class="list-item"><div><p>note</p><p> <font></font><font>CO &#0000000065;&#x000041;&#99999999999999999999;</font> BV</p></div></div>
 </main><footer><a href="/foot.pdf">f</a></footer>"""
 
 

@@ -82,7 +82,7 @@ def test_runs(world):
     assert set(keys(world)) - set(first) == {"471938850/2020/01/02/0000011.json"}
     assert rejected(world)[("again", 1, 1)] == "already_stored"
     reports = spark.read.parquet(f"{out}/reports").orderBy("ingest_seq").collect()
-    assert [(r.new_companies, r.new_publications) for r in reports] == [(2, 3), (2, 3), (0, 1)]
+    assert [(r.new_companies, r.new_publications) for r in reports] == [(2, 3), (2, 3), (0, 0), (0, 1)]  # the run without pages tried the failed pdf again
     assert {r.company for r in reports} == {"471938850", "123456789", None}
 
 
@@ -101,7 +101,52 @@ def test_text_still_missing(world):
     land(spark, pages, [("vat", 1, "471938850", [block("0000001"), block("0000006")])])
     run((spark, pages, fetched, texts.filter("is_digital"), out))
     assert set(keys(world)) == {"471938850/2020/01/02/0000001.json"}
-    assert rejected(world) == {("vat", 1, 2): "not_extracted"}
+    assert rejected(world) == {}
+    run((spark, pages, fetched, texts.filter("is_digital"), out))
+    assert len(keys(world)) == 1
+    run(world)
+    assert set(keys(world)) == {"471938850/2020/01/02/0000001.json", "471938850/2020/01/02/0000006.json"}
+    assert rejected(world) == {}
+
+
+def test_downloads_still_missing(world):
+    spark, pages, fetched, texts, out = world
+    land(spark, pages, [("vat", 1, "471938850", [block("0000001"), block("0000005"), block("0000007")])])
+    run((spark, pages, fetched.filter("path <> '/0000007.pdf'"), texts, out))
+    assert set(keys(world)) == {"471938850/2020/01/02/0000001.json"}
+    assert rejected(world) == {("vat", 1, 2): "robots"}
+    later = fetched.unionAll(spark.createDataFrame([(link("0000005"), True, "/0000005.pdf")], schemas.FETCH_RESULTS))
+    land(spark, pages, [("other", 1, "471938850", [block("0000008")])])
+    run((spark, pages, later, texts, out))
+    assert {k[-12:-5] for k in keys(world)} == {"0000001", "0000005", "0000007", "0000008"}
+    assert rejected(world) == {("vat", 1, 2): "robots"}
+
+
+def test_a_search_is_decided_as_a_whole(world):
+    spark, pages, _, _, _ = world
+    full = [block(f"{n:07d}") for n in range(1, 4)] + [block("0000009", day="2009-12-31")] + [block("0000010", links=0)] * 96
+    land(spark, pages, [("vat", 1, "471938850", full)])
+    run(world)
+    assert not keys(world)
+    land(spark, pages, [("vat", 2, "471938850", [block("0000012")])])
+    run(world)
+    assert {k[-12:-5] for k in keys(world)} == {"0000001", "0000002", "0000003"}
+    assert rejected(world)[("vat", 2, 1)] == "below_cutoff"
+
+
+def test_page_texts_that_are_no_numbers(world):
+    land(world[0], world[1], [("day", 1, None, [block("0000001", vat="BE0471.938.850")])])
+    run(world)
+    assert set(keys(world)) == {"BE0471938850/2020/01/02/0000001.json"}
+
+
+def test_doubled_inputs_store_once(world):
+    spark, pages, fetched, texts, out = world
+    land(spark, pages, [("a", 1, "471938850", [block("0000001")]), ("b", 1, "471938850", [block("0000001")])])
+    doubled = texts.unionAll(texts)
+    run((spark, pages, fetched.unionAll(fetched), doubled, out))
+    assert landed.read_lake(spark, f"{out}/lake").count() == 1
+    assert spark.read.parquet(f"{out}/reports").first().new_publications == 1
 
 
 def test_scans_without_ocr(world):
