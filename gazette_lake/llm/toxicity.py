@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from gazette_lake.llm import arrays, common
 
-SAMPLE = 8000  # graded documents that the model is fitted on, at most
+SAMPLE = 4000  # graded documents that the model is fitted on, at most
 PREFIXES = (4, 5, 6, 7)
 LEAST_DOCUMENTS = 5  # documents of the sample that a feature must be in
 PENALTY = 1e-4
