@@ -1,12 +1,16 @@
-"""Jobs for spark-submit: which pages to fetch, and the scheduled ingest.
+"""Jobs for spark-submit: which pages and pdfs to fetch, the scheduled ingest, compaction.
 
     python -m gazette_lake companies SEEDS OUT
     python -m gazette_lake days 2024-01-01 [2024-01-07] OUT
+    python -m gazette_lake next PAGES OUT
+    python -m gazette_lake pdfs TABLES MANIFEST ROOT OUT
+    python -m gazette_lake compact LAKE OUT
     python -m gazette_lake ingest PAGES FETCH_RESULTS DOCUMENTS OUT [--no-ocr] [--ignore-robots]
 
 SEEDS and FETCH_RESULTS are Parquet tables in the schemas of ``schemas.py``.  DOCUMENTS has
 one row per pdf: publication_link, doc_id, pages, geometry, page_texts.  The frontier jobs
-write (search, page, url) tables for whatever fetches pages.
+write (search, page, url) tables for whatever fetches pages; ``pdfs`` lists the pdfs that rows of the ingest
+tables wait for and that MANIFEST, a table of files below ROOT, does not have.
 """
 
 import argparse
@@ -15,10 +19,12 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from gazette_lake import schemas
-from gazette_lake.operators import frontier, layout
+from gazette_lake.operators import frontier, layout, stored
 from gazette_lake.plans.listing import Rules
 from gazette_lake.session import build_session
-from gazette_lake.streaming.ingest import ingest_stream
+from gazette_lake.sources.landed import read_lake, read_pages, read_pdf_manifest
+from gazette_lake.sources.sinks import compact_lake
+from gazette_lake.streaming.ingest import ingest_stream, waiting_rows
 
 
 def arguments() -> argparse.Namespace:
@@ -31,6 +37,10 @@ def arguments() -> argparse.Namespace:
     days.add_argument("start", type=date.fromisoformat)
     days.add_argument("end", type=date.fromisoformat, nargs="?")
     days.add_argument("out")
+    for job, names in (("next", ["pages", "out"]), ("pdfs", ["tables", "manifest", "root", "out"]), ("compact", ["lake", "out"])):
+        parser_of = jobs.add_parser(job)
+        for name in names:
+            parser_of.add_argument(name)
     ingest = jobs.add_parser("ingest")
     for name in ("pages", "fetch_results", "documents", "out"):
         ingest.add_argument(name)
@@ -49,6 +59,15 @@ def main() -> None:
         ranges = spark.range(1).select(
             F.lit(args.start).alias("start_date"), F.lit(args.end).cast("date").alias("end_date"))
         frontier.day_frontier(ranges).write.parquet(args.out)
+    elif args.job == "next":
+        counted = frontier.blocks_per_page(read_pages(spark, args.pages))
+        days = counted.withColumn("day", F.when(F.col("search_vat").isNull(), F.col("start_date")))
+        frontier.next_pages(days, "search_vat", "day", "day").write.parquet(args.out)
+    elif args.job == "pdfs":
+        waiting = stored.not_downloaded(waiting_rows(spark, args.tables), read_pdf_manifest(spark, args.manifest), args.root)
+        waiting.select("publication_link").distinct().write.parquet(args.out)
+    elif args.job == "compact":
+        compact_lake(read_lake(spark, args.lake), args.out)
     else:
         documents = spark.read.schema(schemas.DOCUMENTS).parquet(args.documents)
         texts = layout.with_text(documents, ocr=not args.no_ocr).select("publication_link", "text", "is_digital")

@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +48,23 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_open_jobs: list[list[str]] = []
+
+
+@contextmanager
+def cleared_stages(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end, the folders that ``stage`` made meanwhile, and no others."""
+    made: list[str] = []
+    _open_jobs.append(made)
+    try:
+        yield
+    finally:
+        _open_jobs.remove(made)
+        for folder in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(rows: DataFrame, name: str) -> DataFrame:
     """Write rows that several later steps need, and read them back.
 
@@ -54,5 +73,7 @@ def stage(rows: DataFrame, name: str) -> DataFrame:
     """
     spark = rows.sparkSession
     folder = new_folder(spark, name)
+    for made in _open_jobs:
+        made.append(folder)
     rows.write.parquet(folder)
     return spark.read.schema(rows.schema).parquet(folder)

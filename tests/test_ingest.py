@@ -221,3 +221,32 @@ def test_ingest_job(world, tmp_path, monkeypatch):
     main()
     assert {(r.pubid, r.text, r.is_digital) for r in keys(world).values()} == {
         ("0000001", "digital", True), ("0000006", "scan", False)}
+
+
+def test_other_jobs(world, tmp_path, monkeypatch):
+    from gazette_lake.__main__ import main
+
+    def job(*arguments):
+        monkeypatch.setattr("sys.argv", ["gazette_lake", *arguments])
+        main()
+
+    spark, pages, fetched, texts, out = world
+    land(spark, pages, [("vat", 1, "471938850", [block("0000001"), block("0000007")]), ("full", 1, "1", [block("0000002")] * 100)])
+    run((spark, pages, fetched.filter("path <> '/0000007.pdf'"), texts, out))
+    job("next", pages, str(tmp_path / "next"))
+    assert [(r.search_id, r.page) for r in spark.read.parquet(str(tmp_path / "next")).collect()] == [("full", 2)]
+    spark.createDataFrame([], schemas.PDF_MANIFEST).write.parquet(str(tmp_path / "manifest"))
+    job("pdfs", out, str(tmp_path / "manifest"), "/data", str(tmp_path / "pdfs"))
+    assert [r.publication_link for r in spark.read.parquet(str(tmp_path / "pdfs")).collect()] == [link("0000007")]
+    job("compact", f"{out}/lake", str(tmp_path / "compact"))
+    assert landed.read_lake(spark, str(tmp_path / "compact")).count() == 1
+
+
+def test_an_ingest_leaves_no_staged_folders(world):
+    import os
+
+    spark, shared = world[0], world[0].conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    land(spark, world[1], [("vat", 1, "471938850", [block("0000001")])])
+    run(world)
+    assert set(os.listdir(shared)) == before and keys(world)
