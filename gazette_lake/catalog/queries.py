@@ -129,8 +129,7 @@ def blocks_per_page(spark, sf):
 
 @query
 def gather_pages(spark, sf):
-    pages = listing_data.result_pages(listing_data.listing(spark, sf))
-    placed = blocks.gather(blocks.page_blocks(pages))
+    placed = blocks.gather(stage(listing_data.result_pages(listing_data.listing(spark, sf)), "pages"))
     return placed.select(
         "search_id", "page", "pos", "search_pos", html.company_name(html.paragraphs(F.col("block"))).alias("company_name"))
 

@@ -1,11 +1,11 @@
 """From result pages to typed publication rows."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gazette_lake.functions import fields, html, urls
 from gazette_lake.operators.cutoff import segment
-from gazette_lake.operators.ordering import Bucket, with_position
+from gazette_lake.operators.lookups import lookup
 from gazette_lake.operators.unnest import unnest
 
 
@@ -18,11 +18,24 @@ def page_blocks(pages: DataFrame, **grammar) -> DataFrame:
     return found.withColumn("pos", F.col("_index") + 1).drop("_index")
 
 
-def gather(blocks: DataFrame, name: str = "search_pos") -> DataFrame:
-    """Adds the place of a block among all blocks of its search, in page order."""
-    split = blocks.withColumn("_segment", segment())
-    placed = with_position(split, ["search_id"], [Bucket("_segment")], [F.col("page"), F.col("pos")], name)
-    return placed.drop("_segment")
+def gather(pages: DataFrame, name: str = "search_pos", **grammar) -> DataFrame:
+    """The blocks of all pages, with the place of each among all blocks of its search, in page order.
+
+    Blocks are not ranked.  A page knows how many it has, so the blocks before a page are a sum
+    over narrow rows: over the segments before its own, and over the pages of its segment.  The
+    sum is put beside the page before the page is cut.
+    """
+    number = F.coalesce("page", F.lit(1)).alias("page")
+    kept = pages.filter(html.has_results(F.col("html"), F.col("page")))
+    counted = kept.select("search_id", number, F.size(html.page_blocks(F.col("html"), **grammar)).alias("_n"))
+    split = counted.withColumn("_segment", segment())
+    earlier = lambda window: F.coalesce(F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    segments = split.groupBy("search_id", "_segment").agg(F.sum("_n").alias("_n")).select(
+        "search_id", "_segment", earlier(Window.partitionBy("search_id").orderBy("_segment")).alias("_above"))
+    within = split.withColumn("_inside", earlier(Window.partitionBy("search_id", "_segment").orderBy("page"))).drop("_n")
+    before = within.join(segments, ["search_id", "_segment"]).select("search_id", "page", (F.col("_above") + F.col("_inside")).alias("_before"))
+    placed = lookup(kept.withColumn("page", number), before, ["search_id", "page"], ["url"])
+    return page_blocks(placed, **grammar).withColumn(name, F.col("_before") + F.col("pos")).drop("_before")
 
 
 def block_parts(blocks: DataFrame) -> DataFrame:

@@ -52,13 +52,21 @@ def test_year_only_date_stops_a_search_by_day(spark):
     assert [r.pos for r in cut.filter("not below_cutoff").collect()] == [1]
 
 
+def html_pages(spark, sizes):
+    rows = [(search, page, "u", '<div class="list-item"><p>x</p></div>' * n) for (search, page), n in sizes.items()]
+    return spark.createDataFrame(rows, "search_id string, page int, url string, html string")
+
+
 def test_gather(spark):
-    rows = [r for r in listing(random.Random(4))] + [("far", page, 1, None) for page in range(900, 2200, 7)]
-    frame = spark.createDataFrame(rows, "search_id string, page int, pos int, d date")
-    got = {(r.search_id, r.page, r.pos): r.search_pos for r in blocks.gather(frame).collect()}
-    for search in {r[0] for r in rows}:
-        for i, row in enumerate(sorted(r[:3] for r in rows if r[0] == search), 1):
-            assert got[row] == i
+    rng = random.Random(4)
+    sizes = {(search, page): rng.randrange(4) for search in "ab" for page in rng.sample(range(1, 3000), 40)}
+    sizes |= {("unpaged", None): 3}
+    got = {(r.search_id, r.page, r.pos): r.search_pos for r in blocks.gather(html_pages(spark, sizes)).collect()}
+    for search in ("a", "b", "unpaged"):
+        walk = [(search, page or 1, pos) for (s, page), n in sorted(sizes.items(), key=str if search == "unpaged" else lambda x: (x[0][0], x[0][1] or 1))
+                if s == search for pos in range(1, n + 1)]
+        assert [got.pop(place) for place in walk] == list(range(1, len(walk) + 1))
+    assert not got
 
 
 def test_positions_over_two_bucket_levels(spark):
@@ -77,8 +85,9 @@ def test_no_window_over_a_whole_search(spark):
     plan = cutoff.with_cutoff(frame, F.lit(date(2010, 1, 1)), F.col("d"))._jdf.queryExecution().optimizedPlan().toString()
     window = plan.index("Window")
     assert "Aggregate" in plan[window:]  # it runs over segments, which are aggregated below it
-    plan = blocks.gather(frame)._jdf.queryExecution().optimizedPlan().toString()
-    assert "row_number() windowspecdefinition(search_id" in plan and ", _segment" in plan
+    gathered = blocks.gather(html_pages(spark, {("a", 1): 1}))
+    windows = [x for x in gathered._jdf.queryExecution().optimizedPlan().toString().splitlines() if " Window " in x]
+    assert len(windows) == 2 and not any("html" in x or "row_number" in x for x in windows)
 
 
 INDEX = [("4711", "1"), ("4711", "1"), ("4712", "2"), ("", "3"), (None, "4")]
