@@ -218,7 +218,7 @@ def learn(training: DataFrame, pieces: Pieces, passes: int = PASSES) -> Model:
     seen = sorted(training.groupBy("lang").count().collect())  # one row per language
     languages, documents = [row[0] for row in seen], np.array([row[1] for row in seen], float)
     size, sent = len(pieces), spark.sparkContext.broadcast(pieces)
-    flat = np.append(np.full(size, 1 / size), 0)[:, None].repeat(max(1, len(languages)), 1)
+    flat = np.append(np.full(size, 1 / size), 0)[:, None]  # one column: at first all languages are alike
     model = Model(languages, np.log(documents / documents.sum()) if languages else np.zeros(1), flat)
     for _ in range(passes if languages else 0):
         now = spark.sparkContext.broadcast(model)
