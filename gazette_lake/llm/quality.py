@@ -1,14 +1,15 @@
 """Quality rules, and a log-likelihood ratio of hashed n-grams: trusted texts against the raw corpus.
 
-Word unigrams and bigrams are hashed into a fixed number of buckets.  Two multinomials over the
-buckets are counted, one over trusted documents (a bounded sample of those labelled good) and one
-over all documents.  A document's score is the mean of ``log(p_trusted / p_raw)`` over its
-n-grams, so it does not grow with length.  A document is kept if it passes the fixed rules and
-its score reaches a threshold; nothing is drawn at random.  The threshold is what nearly all of those
-trusted documents reach that were not counted (a quarter of the sample), less a margin.
+Word unigrams and bigrams are hashed into ``BUCKETS`` buckets, so many that an n-gram rarely shares
+one with others.  Two multinomials over the buckets are counted, one over the documents
+labelled good and one over all documents.  A document's score is the mean of
+``log(p_trusted / p_raw)`` over its n-grams, so it does not grow with length.  A document is kept
+if it passes the fixed rules and its score reaches a threshold; nothing is drawn at random.  The
+threshold is placed between labelled good documents that were not counted (a quarter of them) and
+those labelled bad, none of which is counted as trusted, where the two shares of errors add up to least.
 
 Counting needs one exchange of at most ``BUCKETS`` rows per task, summed by bucket.  Texts are
-never shuffled.
+never shuffled: the labels go to them, as sorted ids, in blocks of bounded size.
 """
 
 from collections.abc import Iterator
@@ -21,13 +22,15 @@ from pyspark.sql import functions as F
 
 from gazette_lake.llm import arrays, common
 
-BUCKET_BITS = 16
+BUCKET_BITS = 22
 BUCKETS = 1 << BUCKET_BITS
-TRUSTED = 20_000  # trusted documents counted at most, those with the smallest hash of their id
-SMOOTHING = 1.0  # added to each bucket's expected share of the trusted n-grams
-CALIBRATION_FOLDS = 4  # one of them sets the threshold
-LOST = 0.005  # share of trusted documents below it
-MARGIN = 0.03
+TRUSTED = 20_000  # trusted documents used at most, those with the smallest hash of their id
+LABELS = 4_000_000  # labels sent at a time, 9 bytes each; more of them take another pass over the texts
+SMOOTHING = 1.0  # trusted n-grams added to what a bucket has and to what it would have if trusted texts were like all
+CALIBRATION_FOLDS = 4  # one of them is not counted but sets the threshold
+LOST = 0.005  # share of trusted documents below the threshold where none is labelled bad
+STEP = 1e-3  # scores are told apart as finely as this for the threshold
+ROWS = 1 << 16  # of a batch of counts
 WINDOW = 3
 LEAST_WORDS, MOST_REPEATED = 50, 0.5
 
@@ -104,38 +107,102 @@ class Text:
         return arrays.sum_rows((np.cumsum(edge[:-1]) > 0).astype(np.int64), self.first)
 
 
-def bucket_counts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """n-grams of all documents and of trusted ones by bucket.  ``trusted`` (doc_id): a bounded sample."""
-    marked = docs.join(F.broadcast(trusted.withColumn("trusted", F.lit(True))), "doc_id", "left")
+BAD, HELD, COUNTED = 0, 1, 2  # labelled bad; good, and sets the threshold; good, and is counted
 
+
+def label_blocks(kinds: DataFrame) -> Iterator[Broadcast]:
+    """Sorted ids and their kinds (doc_id, kind), one row per id, in blocks that each task can hold; one at least."""
+    spark, n = kinds.sparkSession, max(1, -(-kinds.count() // LABELS))
+    for k in range(n):
+        table = kinds.filter(F.pmod(F.xxhash64("doc_id"), F.lit(n)) == k).toArrow()
+        ids, own = table.column("doc_id").to_numpy(), table.column("kind").to_numpy()
+        order = np.argsort(ids)
+        yield spark.sparkContext.broadcast((ids[order], own[order].astype(np.int8)))
+
+
+def _kinds(labels: tuple[np.ndarray, np.ndarray], ids: pa.Array) -> np.ndarray:
+    """Kind of each id, -1 where it has no label."""
+    known, kinds = labels
+    wanted = ids.fill_null(0).to_numpy(zero_copy_only=False)
+    if not len(known):
+        return np.full(len(wanted), -1, np.int8)
+    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    return np.where((known[at] == wanted) & ids.is_valid().to_numpy(zero_copy_only=False), kinds[at], -1)
+
+
+def bucket_counts(docs: DataFrame, labels: Broadcast, whole: bool = True) -> DataFrame:
+    """n-grams of all documents and of counted ones by bucket; unless ``whole``, only of the counted ones."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for part in arrays.slices(batches):
-            rows, buckets = Text(*arrays.text_bytes(part.column(0))).buckets()
-            good = part.column(1).fill_null(False).to_numpy(zero_copy_only=False)
-            raw += np.bincount(buckets, minlength=BUCKETS)
-            target += np.bincount(buckets[good[rows]], minlength=BUCKETS)
-        used = np.flatnonzero(raw)
-        yield pa.record_batch({"bucket": pa.array(used.astype(np.int32)), "raw": pa.array(raw[used]), "target": pa.array(target[used])})
-
-    counted = marked.select("text", "trusted").mapInArrow(count, "bucket int, raw long, target long")
+            good = _kinds(labels.value, part.column(0)) == COUNTED
+            if not whole:
+                part, good = part.filter(pa.array(good)), good[good]
+            rows, buckets = Text(*arrays.text_bytes(part.column(1))).buckets()
+            if whole:
+                np.add.at(raw, buckets, 1)
+            np.add.at(target, buckets[good[rows]], 1)
+        used = np.flatnonzero(raw | target)
+        for low in range(0, len(used), ROWS):
+            at = used[low:low + ROWS]
+            yield pa.record_batch({"bucket": pa.array(at.astype(np.int32)), "raw": pa.array(raw[at]), "target": pa.array(target[at])})
+
+    counted = docs.select("doc_id", "text").mapInArrow(count, "bucket int, raw long, target long")
     return counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
 def log_ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """log(p_trusted / p_raw) by bucket; 0 where nothing is trusted, or nothing was seen."""
+    """log(p_trusted / p_raw) by bucket; 0 where nothing is trusted, or nothing was seen.
+
+    Buckets seen in few trusted texts, or expected in few, are drawn to 0.  How many buckets there
+    are does not matter.
+    """
     if not target.sum():
-        return np.zeros(len(raw))
-    p_raw = (raw + SMOOTHING) / (raw + SMOOTHING).sum()
-    p_target = (target + SMOOTHING * len(raw) * p_raw) / (target.sum() + SMOOTHING * len(raw))
-    return np.where(raw > 0, np.log(p_target / p_raw), 0.0)
+        return np.zeros(len(raw), np.float32)
+    expected = raw * (target.sum() / raw.sum())
+    return np.log((target + SMOOTHING) / (expected + SMOOTHING)).astype(np.float32)
 
 
-def threshold_for(docs: DataFrame, trusted: DataFrame, ratios: Broadcast) -> float:
-    """Score that all but ``LOST`` of the given trusted documents reach, less the margin; without any, no bound."""
-    scores = docs.join(F.broadcast(trusted), "doc_id").select("doc_id", "text").mapInArrow(_judge(ratios, 0.0), SCHEMA)
-    found = scores.filter("not base_failed").agg(F.percentile("score", F.lit(LOST))).first()[0]
-    return -np.inf if found is None else found - MARGIN
+def threshold_for(docs: DataFrame, blocks: list[Broadcast], ratios: Broadcast) -> float:
+    """The middle of where fewest labelled documents are misjudged; without any good ones, no bound.
+
+    Shares of good documents lost and of bad ones kept count alike.  Without bad ones, ``LOST`` of the
+    good ones are below it.  Documents that fail the rules do not matter.
+    """
+    counts: dict[tuple[int, bool], int] = {}
+    for labels in blocks:
+        def steps(batches: Iterator[pa.RecordBatch], labels=labels) -> Iterator[pa.RecordBatch]:
+            for part in arrays.slices(batches):
+                kinds = _kinds(labels.value, part.column(0))
+                used = (kinds == BAD) | (kinds == HELD)
+                scored = next(_judge(ratios, 0.0)(iter([part.filter(pa.array(used))])), None)
+                if scored is not None:
+                    passes = ~scored.column("base_failed").to_numpy(zero_copy_only=False)
+                    step = np.floor(scored.column("score").to_numpy() / STEP).astype(np.int64)
+                    yield pa.record_batch({"step": pa.array(step[passes]), "good": pa.array((kinds[used] == HELD)[passes])})
+
+        found = docs.select("doc_id", "text").mapInArrow(steps, "step long, good boolean").groupBy("step", "good").count()
+        for step, good, n in found.collect():  # some 10,000 steps at most: scores are logarithms
+            counts[step, good] = counts.get((step, good), 0) + n
+    return _threshold(counts)
+
+
+def _threshold(counts: dict[tuple[int, bool], int]) -> float:
+    """The threshold from numbers of documents by step and whether they are good."""
+    steps = sorted({step for step, _ in counts})
+    good, bad = (np.array([counts.get((step, kind), 0) for step in steps], np.int64) for kind in (True, False))
+    if not good.sum():
+        return -np.inf
+    lost = np.append(0, np.cumsum(good)) / good.sum()  # by number of steps below the threshold
+    if not bad.sum():
+        return steps[int(np.searchsorted(lost, LOST, "right")) - 1] * STEP
+    wrong = lost + 1 - np.append(0, np.cumsum(bad)) / bad.sum()
+    first = int(wrong.argmin())
+    if first == 0:
+        return -np.inf
+    if first == len(steps):
+        return (steps[-1] + 1) * STEP
+    return (steps[first - 1] + 1 + steps[first]) / 2 * STEP
 
 
 SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -168,13 +235,19 @@ def assess(docs: DataFrame, labels: DataFrame, trusted: int = TRUSTED, id: str =
     rows.  Columns besides those named are ignored.
     """
     source, spark = common.id_and_text(docs, id, text), docs.sparkSession
-    good = labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
-        F.min("quality").alias("quality")).filter("quality = 1").select("doc_id")
-    chosen = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted)
-    calibrates = F.pmod(F.xxhash64(F.lit("threshold"), "doc_id"), F.lit(CALIBRATION_FOLDS)) == 0
-    table = bucket_counts(source, chosen.filter(~calibrates)).toArrow()  # BUCKETS rows at most
+    judged = labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
+        F.min("quality").alias("quality"))
+    held = F.pmod(F.xxhash64(F.lit("threshold"), "doc_id"), F.lit(CALIBRATION_FOLDS)) == 0
+    good = judged.filter("quality = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted)
+    kinds = good.select("doc_id", F.when(held, HELD).otherwise(COUNTED).alias("kind")).union(
+        judged.filter("quality = 0").select("doc_id", F.lit(BAD)))
+    blocks = list(label_blocks(kinds))
     raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-    at = table.column("bucket").to_numpy()
-    raw[at], target[at] = table.column("raw").to_numpy(), table.column("target").to_numpy()
+    for k, block in enumerate(blocks):
+        table = bucket_counts(source, block, whole=k == 0).toArrow()  # BUCKETS rows at most
+        at = table.column("bucket").to_numpy()
+        raw[at] += table.column("raw").to_numpy()
+        target[at] += table.column("target").to_numpy()
     ratios = spark.sparkContext.broadcast(log_ratios(raw, target))
-    return source.mapInArrow(_judge(ratios, threshold_for(source, chosen.filter(calibrates), ratios)), SCHEMA)
+    threshold = threshold_for(source, blocks, ratios) if target.any() else -np.inf
+    return source.mapInArrow(_judge(ratios, threshold), SCHEMA)

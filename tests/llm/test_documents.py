@@ -331,6 +331,19 @@ def base_counts(text):
             n < 50 or 100 * len(covered) > 50 * n)
 
 
+def test_many_ngrams_rarely_share_buckets():
+    words = quality.Text(*arrays.text_bytes(pa.array([" ".join(f"w{i}" for i in range(200_000))])))
+    _, buckets = words.buckets()
+    assert len(np.unique(buckets)) > 0.9 * len(buckets)
+
+
+def test_threshold_between_good_and_bad():
+    assert quality._threshold({(5, True): 9, (-3, False): 4}) == pytest.approx(0.0015)
+    assert quality._threshold({(5, True): 9}) == pytest.approx(0.005)
+    assert quality._threshold({(5, False): 9}) == -np.inf
+    assert quality._threshold({(5, True): 99, (0, True): 1, (0, False): 50, (1, False): 50}) == pytest.approx(0.0035)
+
+
 def test_quality(spark, odd, none):
     rng = random.Random(3)
     rows = [(i + 100, prose(80, i) if i % 3 else " ".join(f"{w}***" for w in prose(80, i).split())) for i in range(300)]
