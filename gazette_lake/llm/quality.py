@@ -24,7 +24,6 @@ from gazette_lake.llm import arrays, common
 
 BUCKET_BITS = 22
 BUCKETS = 1 << BUCKET_BITS
-TRUSTED = 20_000  # trusted documents used at most, those with the smallest hash of their id
 LABELS = 4_000_000  # labels sent at a time, 9 bytes each; more of them take another pass over the texts
 SMOOTHING = 1.0  # trusted n-grams added to what a bucket has and to what it would have if trusted texts were like all
 CALIBRATION_FOLDS = 4  # one of them is not counted but sets the threshold
@@ -226,7 +225,7 @@ def _judge(ratios: Broadcast, threshold: float):
     return judge
 
 
-def assess(docs: DataFrame, labels: DataFrame, trusted: int = TRUSTED, id: str = "doc_id", text: str = "text") -> DataFrame:
+def assess(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rule counts, score and verdict of every whole text.
 
     ``labels`` (doc_id, quality): documents whose quality is 1 are trusted, unless a row of the same id says 0.
@@ -238,9 +237,8 @@ def assess(docs: DataFrame, labels: DataFrame, trusted: int = TRUSTED, id: str =
     judged = labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.min("quality").alias("quality"))
     held = F.pmod(F.xxhash64(F.lit("threshold"), "doc_id"), F.lit(CALIBRATION_FOLDS)) == 0
-    good = judged.filter("quality = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted)
-    kinds = good.select("doc_id", F.when(held, HELD).otherwise(COUNTED).alias("kind")).union(
-        judged.filter("quality = 0").select("doc_id", F.lit(BAD)))
+    kinds = judged.filter("quality in (0, 1)").select(
+        "doc_id", F.when(F.col("quality") == 0, BAD).when(held, HELD).otherwise(COUNTED).alias("kind"))
     blocks = list(label_blocks(kinds))
     raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
     for k, block in enumerate(blocks):

@@ -344,6 +344,15 @@ def test_threshold_between_good_and_bad():
     assert quality._threshold({(5, True): 99, (0, True): 1, (0, False): 50, (1, False): 50}) == pytest.approx(0.0035)
 
 
+def test_all_trusted_documents_are_counted(spark, monkeypatch):
+    seen, docs = [], spark.range(30_000).selectExpr("id doc_id", "concat('w', id) text")
+    monkeypatch.setattr(quality, "log_ratios", lambda raw, target: seen.append((raw.sum(), target.sum())) or np.zeros(quality.BUCKETS, np.float32))
+    quality.assess(docs, docs.selectExpr("doc_id", "1 quality"))
+    monkeypatch.setattr(quality, "LABELS", 7000, raising=False)
+    quality.assess(docs, docs.selectExpr("doc_id", "1 quality"))
+    assert seen[0] == seen[1] and seen[0][0] == 30_000 and abs(seen[0][1] - 22_500) < 500
+
+
 def test_quality(spark, odd, none):
     rng = random.Random(3)
     rows = [(i + 100, prose(80, i) if i % 3 else " ".join(f"{w}***" for w in prose(80, i).split())) for i in range(300)]
