@@ -4,8 +4,10 @@ Everything is column expressions.  A pattern's places come from splitting the te
 lengths of the parts between and of the hits add up to code-point positions.  Texts that
 cannot match are passed by after a plain search.
 
-Beyond the patterns, every long run of token characters is scored: the mean, over its
-neighbouring characters, of log P(next | random) - log P(next | ordinary).  Both models count
+Beyond the patterns, every long run of token characters, or what the patterns' spans leave of it, is
+scored: the largest mean, over the neighbouring characters of a stretch of ``LEAST_RANDOM`` or
+more, of log P(next | random) - log P(next | ordinary), held against ``THRESHOLD``.  A run with
+such a stretch is a span as a whole, so that no end of a secret is left.  Both models count
 character pairs in labelled strings: what the patterns found is random, words of letters,
 digits and underscores outside of it are ordinary identifiers.  They come from a bounded sample of documents
 (``SAMPLE`` of them, chosen by a hash); the pairs are counted in a shuffle of at most a few
@@ -22,7 +24,7 @@ from gazette_lake.functions.text import let
 
 SAMPLE = 20_000  # documents that labelled strings are taken from, about
 LEAST_RANDOM = 20  # characters of a run that is scored
-THRESHOLD = 0.4  # mean log-likelihood ratio from which a run is a secret
+THRESHOLD = 0.4  # mean log-likelihood ratio from which a stretch of a run is a secret
 UNIFORM = 0.05  # share of a character that no string had
 DISCOUNT = 2  # strings with a pair that count for nothing: among ordinary ones are some secrets
 BACKOFF = 10.0  # weight, in counted pairs, of how frequent the next character is by itself
@@ -102,11 +104,32 @@ class Models:
 
     ratios: tuple[float, ...]
 
-    def score(self, run: Column) -> Column:
-        """Mean ratio over a run's pairs."""
+    def random(self, run: Column) -> Column:
+        """Whether some stretch of ``LEAST_RANDOM`` characters or more has a mean ratio of ``THRESHOLD`` or more.
+
+        One pass over sums of what each pair has beyond the threshold: up to a pair, less the least of
+        those up to a pair at least a stretch before.
+        """
         table = F.from_json(F.lit("[" + ",".join(f"{x:.6g}" for x in self.ratios) + "]"), "array<double>")
-        total = lambda pairs: F.aggregate(pairs, F.lit(0.0), lambda sum, p: sum + F.coalesce(F.get(table, p), F.lit(0.0)))
-        return let(_pairs(run), lambda p: total(p) / F.greatest(F.size(p), F.lit(1)))
+        least, zero = LEAST_RANDOM - 1, F.lit(0.0)
+        beyond = lambda pairs: F.transform(pairs, lambda p: F.coalesce(F.get(table, p), zero) - THRESHOLD)
+
+        def search(x: Column) -> Column:
+            steps = F.zip_with(
+                F.slice(x, F.lit(least), F.size(x)), F.concat(F.array(zero), F.slice(x, F.lit(1), F.size(x) - least)),
+                lambda new, old: F.struct(new.alias("new"), old.alias("old")))
+            start = F.struct(
+                F.aggregate(F.slice(x, F.lit(1), F.lit(least - 1)), zero, lambda a, b: a + b).alias("upto"),
+                zero.alias("before"), zero.alias("least"), F.lit(False).alias("found"))
+
+            def step(state: Column, pair: Column) -> Column:
+                upto, before = state.upto + pair.new, state.before + pair.old
+                low = F.least(state.least, before)
+                return F.struct(upto.alias("upto"), before.alias("before"), low.alias("least"), (state.found | (upto - low >= 0)).alias("found"))
+
+            return F.aggregate(steps, start, step, lambda state: state.found)
+
+        return let(_pairs(run), lambda p: let(beyond(p), lambda x: F.when(F.size(x) >= least, search(x)).otherwise(False)))
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Models:
@@ -146,12 +169,28 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Models:
     return Models(tuple(ratios))
 
 
+def _rest(run: Column) -> Column:
+    """What the base spans leave of a run, in parts of ``LEAST_RANDOM`` characters or more."""
+    inside = F.sort_array(F.filter(F.concat("assign", "access", "hex"), lambda b: (b.start < run.end) & (run.start < b.end)))
+    part = lambda start, end: F.struct(
+        start.alias("start"), run["rank"].alias("rank"), end.alias("end"),
+        F.substring(run.value, (start - run.start + 1).cast("int"), (end - start).cast("int")).alias("value"))
+    begin = F.struct(run.start.alias("at"), F.array().cast(SPAN).alias("parts"))
+
+    def step(state: Column, base: Column) -> Column:
+        more = F.when(base.start - state.at >= LEAST_RANDOM, F.concat(state.parts, F.array(part(state.at, base.start)))).otherwise(state.parts)
+        return F.struct(F.greatest(state.at, base.end).alias("at"), more.alias("parts"))
+
+    last = lambda state: F.when(run.end - state.at >= LEAST_RANDOM, F.concat(state.parts, F.array(part(state.at, run.end)))).otherwise(state.parts)
+    return let(inside, lambda spans: F.when(F.size(spans) == 0, F.array(run).cast(SPAN)).otherwise(F.aggregate(spans, begin, step, last)))
+
+
 def with_spans(rows: DataFrame, models: Models, text: str) -> DataFrame:
     """Adds assign, access, hex, markov: arrays of spans.  ``text`` is a string column without nulls."""
     based = rows.withColumns(base_spans(F.col(text)))
     runs = _places(F.col(text), TOKEN, 3, 0, F.col(text).rlike(TOKEN))
-    taken = lambda s: F.exists(F.concat("assign", "access", "hex"), lambda b: (b.start < s.end) & (s.start < b.end))
-    return based.withColumn("markov", F.filter(runs, lambda s: (models.score(s.value) >= THRESHOLD) & ~taken(s)))
+    markov = F.filter(F.flatten(F.transform(runs, _rest)), lambda s: models.random(s.value))
+    return based.withColumn("markov", markov)
 
 
 def _listed(spans: Column) -> Column:

@@ -310,6 +310,22 @@ def test_random_strings_are_told_from_identifiers(spark):
     assert kept[900] == "a [secret] and internationalisation_elements then ------------------------------"
 
 
+def test_secrets_inside_runs_are_found(spark):
+    rng, alphabet = random.Random(7), "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnpqrstuvwxyz0123456789"
+    key = lambda n: "".join(rng.choice(alphabet) for _ in range(n))
+    roots = "get set item value count index name list table session identifier callback authentication private signing credential".split()
+    plain = lambda: " ".join("_".join(rng.choices(roots, k=4)) + " " + "/".join(rng.choices(roots, k=3)) for _ in range(10))
+    rows = [(i, f"{prose(40, i)} password={key(24)} {plain()}") for i in range(200)]
+    names = ("session_identifier=", "private_signing_credential=", "callback/authentication/session/")
+    rows += [(1000 + i, f"a {names[i % 3]}{key(24)} b") for i in range(60)]
+    access = "AKIA" + "ABCDEFGH01234567"
+    rows += [(2000, f"a {access}/{key(40)} b")]
+    got = {r.doc_id: r for r in secrets.scan(frame(spark, rows)).collect()}
+    assert sum(got[1000 + i].n_markov for i in range(60)) >= 57
+    assert got[2000].spans == "access:2:22,markov:22:63"
+    assert sum(got[i].n_markov for i in range(200)) == 0
+
+
 def test_scan_is_native(odd):
     plan = secrets.scan(odd)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
