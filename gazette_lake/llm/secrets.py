@@ -9,8 +9,9 @@ scored: the largest mean, over the neighbouring characters of a stretch of ``LEA
 more, of log P(next | random) - log P(next | ordinary), held against ``THRESHOLD``.  A run with
 such a stretch is a span as a whole, so that no end of a secret is left.  Both models count
 character pairs in labelled strings: what the patterns found is random, words of letters,
-digits and underscores outside of it are ordinary identifiers.  They come from a bounded sample of documents
-(``SAMPLE`` of them, chosen by a hash); the pairs are counted in a shuffle of at most a few
+digits and underscores outside of it are ordinary identifiers.  Random strings come from all
+documents, as they may be rare; ordinary ones, of which every text has many, from a bounded sample
+(``SAMPLE`` documents, chosen by a hash).  The pairs are counted in a shuffle of at most a few
 thousand groups.
 """
 
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from gazette_lake.functions.text import let
 
-SAMPLE = 20_000  # documents that labelled strings are taken from, about
+SAMPLE = 20_000  # documents that ordinary identifiers are taken from, about
 LEAST_RANDOM = 20  # characters of a run that is scored
 THRESHOLD = 0.4  # mean log-likelihood ratio from which a stretch of a run is a secret
 UNIFORM = 0.05  # share of a character that no string had
@@ -136,15 +137,16 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Models:
     """Both models from ``docs`` (doc_id, text).  Without random strings no run is random."""
     n = docs.count()
     share = min(1.0, sample / max(1, n))
-    chosen = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    chosen = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
     text = F.coalesce("text", F.lit(""))
-    found = chosen.select(text.alias("text")).withColumns(base_spans(F.col("text")))
-    known = found.select("text", F.transform(F.concat("assign", "access", "hex"), lambda s: s.value).alias("random"))
-    words = F.filter(F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0)),
-                     lambda w: ~F.exists("random", lambda r: F.contains(r, w)))
+    found = docs.select(chosen.alias("chosen"), text.alias("text")).withColumns(base_spans(F.col("text")))
+    known = found.select("chosen", "text", F.transform(F.concat("assign", "access", "hex"), lambda s: s.value).alias("random"))
+    words = F.when(F.col("chosen"), F.filter(F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0)),
+                                             lambda w: ~F.exists("random", lambda r: F.contains(r, w))))
     labelled = known.select(F.explode(F.concat(
         F.transform("random", lambda r: F.struct(F.lit(True).alias("random"), r.alias("value"))),
-        F.transform(words, lambda w: F.struct(F.lit(False).alias("random"), w.alias("value"))))).alias("s"))
+        F.coalesce(F.transform(words, lambda w: F.struct(F.lit(False).alias("random"), w.alias("value"))), F.array())
+    )).alias("s"))
     # Each distinct string counts once by label: copies of one document add nothing.
     distinct = labelled.select("s.random", "s.value").distinct()
     counted = distinct.select("random", F.explode(_pairs(F.col("value"))).alias("pair")).groupBy("random", "pair").count()

@@ -326,6 +326,16 @@ def test_secrets_inside_runs_are_found(spark):
     assert sum(got[i].n_markov for i in range(200)) == 0
 
 
+def test_random_strings_are_learned_from_all_documents(spark):
+    """A sample of 20 of 2000 documents has hardly one of those with a secret."""
+    rng, alphabet = random.Random(8), "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnpqrstuvwxyz0123456789"
+    key = lambda n: "".join(rng.choice(alphabet) for _ in range(n))
+    rows = [(i, prose(40, i) + (f" password={key(24)}" if i % 40 == 7 else "")) for i in range(2000)]
+    rows += [(5000 + i, f"a {key(24)} b") for i in range(20)]
+    got = {r.doc_id: r for r in secrets.scan(frame(spark, rows), sample=20).collect()}
+    assert sum(got[5000 + i].n_markov for i in range(20)) >= 15
+
+
 def test_scan_is_native(odd):
     plan = secrets.scan(odd)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
