@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from gazette_lake.llm import arrays, common
 
 PASSES = 2
-LEARN_BYTES = 32  # longer words are scored, not learned from
 LINEAR_BYTES = 32  # longer words are summed as logarithms, against underflow
+STRETCH_BYTES, OVERLAP_BYTES = 128, 64  # longer words are learned from in stretches, seen with so much before and after
+HELD_BYTES = 1 << 24  # of distinct words that a learning task holds, likewise
 SMOOTHING = 0.1
 FIXED_POINT = 1 << 20
 SLICE_BYTES = 1 << 22  # larger than elsewhere: few words of a slice are new to a worker
@@ -121,8 +122,9 @@ class Words:
         value = arrays.RangeHash(self.flat)
         order = of[np.argsort(self.lengths[of], kind="stable")]
         for own in np.split(order, np.flatnonzero(np.diff(self.lengths[order])) + 1):
-            for low in range(0, len(own), 1 << 14):
-                part, found = own[low:low + (1 << 14)], {}
+            most = (1 << 14) if self.lengths[own[:1]].max(initial=0) <= LINEAR_BYTES else (1 << 10)
+            for low in range(0, len(own), most):
+                part, found = own[low:low + most], {}
                 n, start = int(self.lengths[part[0]]), self.starts[part]
                 for a in range(n):
                     for b in range(a + 1, min(n, a + pieces.longest) + 1):
@@ -132,6 +134,39 @@ class Words:
                 yield part, n, found
 
 
+    def stretches(self) -> tuple["Words", np.ndarray, np.ndarray, np.ndarray]:
+        """All words in parts of ``STRETCH_BYTES`` at most, cut between characters, each with up to ``OVERLAP_BYTES`` around.
+
+        Also the word of each part, and which of its places (from, to) are its own: every place of a word is
+        one part's own.  A word that fits is one part.
+        """
+        flats, word, own_from, own_to = [], [], [], []
+        for i, (start, size) in enumerate(zip(self.starts.tolist(), self.lengths.tolist())):
+            whole = self.flat[start:start + size]
+            limits = [0, size]
+            if size > STRETCH_BYTES:
+                begins = np.flatnonzero((whole & 0xC0) != 0x80)  # of characters
+                if len(begins) * 8 < size:  # not UTF-8
+                    begins = np.arange(size)
+                at = lambda n: int(begins[max(0, np.searchsorted(begins, n, "right") - 1)])
+                limits = sorted({0, size, *(at(n) for n in range(STRETCH_BYTES, size, STRETCH_BYTES))})
+            for a, b in zip(limits[:-1], limits[1:]):
+                low = at(a - OVERLAP_BYTES) if a > OVERLAP_BYTES else 0
+                high = at(b + OVERLAP_BYTES) if b + OVERLAP_BYTES < size else size
+                flats.append(whole[low:high])
+                word.append(i)
+                own_from.append(a - low)
+                own_to.append(b - low)
+        size = np.array([len(f) for f in flats], np.int64)
+        flat = np.concatenate([np.zeros(0, np.uint8), *flats])
+        parts = Words(np.arange(len(size), dtype=np.uint64), flat, np.cumsum(size) - size, size)
+        return parts, np.array(word, np.int64), np.array(own_from, np.int64), np.array(own_to, np.int64)
+
+    def only(self, of: np.ndarray) -> "Words":
+        """The words numbered ``of``."""
+        return Words(self.keys[of], self.flat, self.starts[of], self.lengths[of])
+
+
 @dataclass
 class Model:
     """Languages with their priors (logarithms), and piece probabilities by language; the last row, of no piece, is 0."""
@@ -147,19 +182,21 @@ class Model:
             sums[a if backward else b] += sums[b if backward else a] * self.probabilities[piece]
         return sums
 
-    def _log_sums(self, n: int, found: dict, size: int) -> np.ndarray:
+    def _log_sums(self, n: int, found: dict, size: int, backward: bool = False) -> np.ndarray:
         with np.errstate(divide="ignore"):
-            sums = np.full((n + 1, size, self.probabilities.shape[1]), -np.inf)
-            sums[0] = 0
-            for (a, b), piece in sorted(found.items(), key=lambda x: x[0][1]):
-                sums[b] = np.logaddexp(sums[b], sums[a] + np.log(self.probabilities[piece]))
-        return sums[n]
+            logs = np.log(self.probabilities)
+        sums = np.full((n + 1, size, self.probabilities.shape[1]), -np.inf)
+        sums[n if backward else 0] = 0
+        for (a, b), piece in sorted(found.items(), key=lambda x: -x[0][0] if backward else x[0][1]):
+            into, off = (a, b) if backward else (b, a)
+            sums[into] = np.logaddexp(sums[into], sums[off] + logs[piece])
+        return sums
 
     def word_scores(self, words: Words, pieces: Pieces, of: np.ndarray) -> np.ndarray:
         """log P(word) by word, of those numbered, and language."""
         out = np.zeros((len(words.keys), self.probabilities.shape[1]))
         for own, n, found in words.groups(pieces, of):
-            out[own] = np.log(self._sums(n, found, len(own))[n]) if n <= LINEAR_BYTES else self._log_sums(n, found, len(own))
+            out[own] = np.log(self._sums(n, found, len(own))[n]) if n <= LINEAR_BYTES else self._log_sums(n, found, len(own))[n]
         return out[of]
 
     def cached_scores(self, words: Words, pieces: Pieces) -> np.ndarray:
@@ -177,9 +214,25 @@ class Model:
         return out
 
     def expected(self, words: Words, pieces: Pieces, counts: np.ndarray) -> np.ndarray:
-        """Expected uses of each piece by language, given how often each language has each word."""
+        """Expected uses of each piece by language, given how often each language has each word.
+
+        Of a word longer than a stretch, every piece counts in the stretch where it starts.
+        """
         total = np.zeros((len(pieces) + 1, counts.shape[1]))
-        for own, n, found in words.groups(pieces, np.flatnonzero(words.lengths <= LEARN_BYTES)):
+        long = np.flatnonzero(words.lengths > LINEAR_BYTES)
+        if len(long):
+            parts, word, own_from, own_to = words.only(long).stretches()
+            with np.errstate(divide="ignore"):
+                logs = np.log(self.probabilities)
+            for own, n, found in parts.groups(pieces, np.arange(len(word))):
+                forward, backward = self._log_sums(n, found, len(own)), self._log_sums(n, found, len(own), backward=True)
+                weight = counts[long[word[own]]]
+                for (a, b), piece in found.items():
+                    here = np.flatnonzero((piece >= 0) & (own_from[own] <= a) & (a < own_to[own]))
+                    used = np.exp(forward[a, here] + logs[piece[here]] + backward[b, here] - forward[n, here]) * weight[here]
+                    for language in range(counts.shape[1]):
+                        np.add.at(total[:, language], piece[here], used[:, language])
+        for own, n, found in words.groups(pieces, np.flatnonzero(words.lengths <= LINEAR_BYTES)):
             forward, backward = self._sums(n, found, len(own)), self._sums(n, found, len(own), backward=True)
             weight = counts[own] / forward[n]
             for (a, b), piece in found.items():
@@ -232,9 +285,9 @@ def learn(training: DataFrame, pieces: Pieces, passes: int = PASSES) -> Model:
                 key = which * len(languages) + language[arrays.row_of(first)]
                 counts = np.bincount(key, minlength=len(words.keys) * len(languages)).reshape(-1, len(languages))
                 held.append((words, counts))
-                if sum(len(w.keys) for w, _ in held) > HELD_WORDS:
+                if sum(len(w.keys) for w, _ in held) > HELD_WORDS or sum(len(w.flat) for w, _ in held) > HELD_BYTES:
                     held = [Words.joined(held)]
-                    if len(held[0][0].keys) > HELD_WORDS // 2:
+                    if len(held[0][0].keys) > HELD_WORDS // 2 or len(held[0][0].flat) > HELD_BYTES // 2:
                         total += now.value.expected(held[0][0], sent.value, held[0][1])
                         held = []
             if held:

@@ -262,6 +262,18 @@ def test_languages(spark, odd, none):
     assert language.identify(none, tokenizer_file("piece_bpe_32k.model")).count() == 0
 
 
+def test_long_words_are_learned_from(pieces, monkeypatch):
+    text = "".join(random.Random(4).choices("日本語文字列処理統計中国人民政府", k=150)) + "internationalisation" * 3
+    words, _, _ = language.Words.of(*arrays.text_bytes(pa.array([text])))
+    flat = np.append(np.random.default_rng(1).dirichlet(np.ones(len(pieces))), 0)[:, None]
+    model = language.Model(["a"], np.zeros(1), flat)
+    got = model.expected(words, pieces, np.full((1, 1), 3.0))
+    lengths = np.array([len(s) for s in pieces.strings])
+    assert (got[:, 0] * lengths).sum() == pytest.approx(3 * words.lengths[0], rel=0.02)
+    monkeypatch.setattr(language, "STRETCH_BYTES", 10_000, raising=False)
+    assert np.abs(got - model.expected(words, pieces, np.full((1, 1), 3.0))).max() < 0.01
+
+
 # --- secrets
 
 ASSIGN = re.compile(r"""(?ia)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
