@@ -7,7 +7,8 @@ bytes of longer words, so that inflected and compound forms share weights.  A pe
 absolute weights leaves few of them.
 
 The model is fitted on the driver from a bounded sample of graded documents (``SAMPLE``, those
-with the smallest hash of their id).  All documents are scored where they lie, without an exchange.
+with the smallest hash of their id; one row of each).  Their features are counted by Spark, and only numbers of
+those in enough documents reach the driver.  All documents are scored where they lie, without an exchange.
 """
 
 from collections.abc import Iterator
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gazette_lake.llm import arrays, common
+from gazette_lake.session import stage
 
 SAMPLE = 4000  # graded documents that the model is fitted on, at most
 PREFIXES = (4, 5, 6, 7)
@@ -27,6 +29,7 @@ LEAST_DOCUMENTS = 5  # documents of the sample that a feature must be in
 PENALTY = 1e-4
 ROUNDS, TAKEN, STEPS = 12, 60, 150
 REJECT_AT = 0.3
+_BLOCK = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -130,14 +133,29 @@ def fit(rows: np.ndarray, keys: np.ndarray, grades: np.ndarray, penalty: float =
     vocabulary, column, documents = np.unique(keys, return_inverse=True, return_counts=True)
     frequent = documents >= LEAST_DOCUMENTS
     kept = frequent[column]
-    rows, column, vocabulary = rows[kept], (np.cumsum(frequent) - 1)[column[kept]], vocabulary[frequent]
+    return fit_numbered(rows[kept], (np.cumsum(frequent) - 1)[column[kept]], vocabulary[frequent], grades, penalty)
+
+
+def _row_sums(rows: np.ndarray, column: np.ndarray, by_row: np.ndarray, size: int) -> np.ndarray:
+    """Sums of each row's value by column, in blocks."""
+    sums = np.zeros(size)
+    for low in range(0, len(rows), _BLOCK):
+        sums += np.bincount(column[low:low + _BLOCK], by_row[rows[low:low + _BLOCK]], size)
+    return sums
+
+
+def fit_numbered(rows: np.ndarray, column: np.ndarray, vocabulary: np.ndarray, grades: np.ndarray, penalty: float = PENALTY) -> Model:
+    """``fit`` on numbers of features that are in enough documents; ``vocabulary`` has their hashes."""
+    n, top = len(grades), int(grades.max(initial=0))
+    if not n or grades.min() == top:
+        return Model(np.zeros(0, np.uint64), np.zeros(0), np.full(1, np.inf))
     share = np.clip([(grades > k).mean() for k in range(top)], 1e-9, 1 - 1e-9)
     w, thresholds = np.zeros(len(vocabulary)), np.log((1 - share) / share)
     taken = np.zeros(len(w), bool)
     for _ in range(ROUNDS):
         inside = taken[column]
         by_score, _ = _slopes(np.bincount(rows[inside], w[column[inside]], n), grades, thresholds)
-        slope = np.abs(np.bincount(column, by_score[rows], len(w)))
+        slope = np.abs(_row_sums(rows, column, by_score, len(w)))
         slope[taken] = 0
         best = np.argsort(-slope, kind="stable")[:TAKEN]
         best = best[slope[best] > penalty]
@@ -150,30 +168,58 @@ def fit(rows: np.ndarray, keys: np.ndarray, grades: np.ndarray, penalty: float =
     return Model(vocabulary[used], w[used], thresholds)
 
 
-def sample_features(docs: DataFrame, graded: DataFrame, sample: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows, feature hashes and grades of the sampled documents."""
+def sample_features(docs: DataFrame, graded: DataFrame, sample: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows and feature numbers, the features' hashes, and the grades of the sampled documents.
+
+    Of the rows that share a sampled id, the one whose text has the smallest hash is used.
+    """
     chosen = graded.groupBy("doc_id").agg(F.max("grade").alias("grade")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in arrays.slices(batches):
-            rows, hashes = features(*arrays.text_bytes(part.column(0)))
+            rows, hashes = features(*arrays.text_bytes(part.column(2)))
             limits = np.searchsorted(rows[order := np.lexsort((hashes, rows))], np.arange(part.num_rows + 1))
             hashes = hashes[order]
             sets = [np.unique(hashes[a:b]).tobytes() for a, b in zip(limits[:-1], limits[1:])]
-            yield pa.record_batch({"grade": part.column(1), "features": pa.array(sets, pa.binary())})
-
-    found = docs.join(F.broadcast(chosen), "doc_id").select("text", F.col("grade").cast("int").alias("grade"))
-    table = found.mapInArrow(extract, "grade int, features binary").toArrow()
-    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("features")]
-    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    keys = np.concatenate([np.zeros(0, np.uint64), *sets])
-    return rows, keys, table.column("grade").to_numpy().astype(np.int64)
+            yield pa.record_batch({"doc_id": part.column(0), "grade": part.column(1), "features": pa.array(sets, pa.binary())})
+
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x in batch.column(0):
+                yield pa.record_batch({"feature": pa.array(np.frombuffer(x.as_buffer(), np.int64))})
+
+    found = docs.join(F.broadcast(chosen), "doc_id")
+    one = found.groupBy("doc_id", F.col("grade").cast("int").alias("grade")).agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    sets = stage(one.mapInArrow(extract, "doc_id long, grade int, features binary"), "features")
+    counted = sets.select("features").mapInArrow(single, "feature long").groupBy("feature").count()
+    frequent = counted.filter(F.col("count") >= LEAST_DOCUMENTS).select("feature").toArrow().column("feature").to_numpy()
+    vocabulary = np.sort(frequent.view(np.uint64))
+    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def numbers_of(hashes: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(sent.value, hashes)
+        known = at < len(sent.value)
+        known[known] = sent.value[at[known]] == hashes[known]
+        return at[known]
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers = [numbers_of(np.frombuffer(x.as_buffer(), np.uint64)).astype(np.int32).tobytes() for x in batch.column(2)]
+            yield pa.record_batch({"doc_id": batch.column(0), "grade": batch.column(1), "numbers": pa.array(numbers, pa.binary())})
+
+    table = sets.mapInArrow(number, "doc_id long, grade int, numbers binary").toArrow()
+    order = np.argsort(table.column("doc_id").to_numpy())
+    numbers = table.column("numbers").to_pylist()
+    sizes = [len(numbers[i]) // 4 for i in order]
+    column = np.frombuffer(b"".join([numbers[i] for i in order]), np.int32)
+    rows = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    return rows, column, vocabulary, table.column("grade").to_numpy().astype(np.int64)[order]
 
 
 def model_for(docs: DataFrame, graded: DataFrame, sample: int = SAMPLE) -> Broadcast:
     """The fitted model, sent to all workers.  ``docs`` has doc_id and text."""
     usable = graded.select(F.col("doc_id").cast("long"), F.col("grade").cast("int")).filter("doc_id is not null and grade >= 0")
-    return docs.sparkSession.sparkContext.broadcast(fit(*sample_features(docs, usable, sample)))
+    return docs.sparkSession.sparkContext.broadcast(fit_numbered(*sample_features(docs, usable, sample)))
 
 
 def score(docs: DataFrame, graded: DataFrame, sample: int = SAMPLE, reject_at: float = REJECT_AT,

@@ -141,6 +141,15 @@ def test_severity(spark, odd, none):
     assert kept.columns == ["doc_id", "text", "label"]
 
 
+def test_sample_has_one_row_of_an_id(spark):
+    docs = frame(spark, [(i, f"common word{i % 3}x") for i in range(30)] + [(7, f"copy number {i}") for i in range(300)])
+    graded = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, grade int")
+    found = toxicity.sample_features(docs, graded, 100)
+    assert len(found[-1]) == 30 and found[0].max() < 30
+    common = toxicity.features(*arrays.text_bytes(pa.array(["common"])))[1]
+    assert set(common) <= set(found[2]) and np.bincount(found[1]).min() >= toxicity.LEAST_DOCUMENTS
+
+
 def test_thresholds_are_ordered_and_weights_shared():
     rng = np.random.default_rng(0)
     grade = rng.integers(0, 3, 600)
