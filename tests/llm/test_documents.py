@@ -150,6 +150,11 @@ def test_sample_has_one_row_of_an_id(spark):
     assert set(common) <= set(found[2]) and np.bincount(found[1]).min() >= toxicity.LEAST_DOCUMENTS
 
 
+def test_sample_is_as_large_as_before_it_was_halved(spark):
+    docs = spark.range(9000).selectExpr("id doc_id", "'some words' text")
+    assert len(toxicity.sample_features(docs, docs.selectExpr("doc_id", "0 grade"), toxicity.SAMPLE)[-1]) == 8000
+
+
 def test_thresholds_are_ordered_and_weights_shared():
     rng = np.random.default_rng(0)
     grade = rng.integers(0, 3, 600)
