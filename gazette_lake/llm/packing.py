@@ -2,7 +2,7 @@
 
 1. Every text is encoded where it lies.  A document longer than a bin is cut into full bins
    and a rest.  The pieces, narrow rows without ids, are written to the shared folder.
-2. The pieces are dealt by a hash into tasks of some hundred thousand each and packed online:
+2. The pieces are dealt by a hash, also of their places in that table, into tasks of some hundred thousand each and packed online:
    a piece goes to the open bin that it fills best; where none has room, a new bin is opened;
    if too many are open, the fullest is closed first.
 
@@ -89,11 +89,12 @@ class OpenBins:
 def pack(pieces: DataFrame, capacity: int, open_bins: int = OPEN_BINS, pieces_per_task: int = PIECES_PER_TASK) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to rows with a ``length`` of 1 to ``capacity``.
 
-    ``pieces`` should be a written table: its rows are counted first.
+    ``pieces`` should be a written table: its rows are counted first, and equal rows are told apart by their places in it.
     """
     tasks = max(1, -(-pieces.count() // pieces_per_task))
-    order = [F.xxhash64(*pieces.columns), *pieces.columns]
-    dealt = pieces.repartition(tasks, F.xxhash64(*pieces.columns)).sortWithinPartitions(*order)
+    placed = pieces.withColumn("_at", F.monotonically_increasing_id())
+    own = F.xxhash64("_at", *pieces.columns)
+    dealt = placed.repartition(tasks, own).sortWithinPartitions(own, *pieces.columns, "_at").drop("_at")
     numbered = dealt.withColumn("_task", F.spark_partition_id().cast("long"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

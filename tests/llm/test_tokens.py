@@ -138,3 +138,12 @@ def test_open_bins_are_bounded_and_filled_best(lengths, limit):
         assert [free[b] for b in gone] == ([min(free.values())] if not fits and len(free) == limit else [])
         assert len(now) == bins.open <= limit
         free = now
+
+
+def test_equal_pieces_are_spread(spark):
+    pieces = spark.range(4000).selectExpr("cast(null as long) doc_id", "0 piece", "0L start", "1L length", "7L ids_crc32")
+    rows = packing.pack(pieces, 8, pieces_per_task=500).collect()
+    tasks = {}
+    for row in rows:
+        tasks[row.sequence_id >> 40] = tasks.get(row.sequence_id >> 40, 0) + 1
+    assert len(rows) == 4000 and len(tasks) == 8 and max(tasks.values()) < 700
