@@ -17,7 +17,7 @@ def duck(sf):
 
 
 def test_every_query_has_a_counterpart():
-    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+    assert set(QUERIES) - set(ORACLES) <= ROWS_ONLY
     assert set(ORACLES) <= set(QUERIES)
 
 
