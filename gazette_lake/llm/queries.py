@@ -5,8 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gazette_lake.llm import (
-    binary, counting, decontamination, language, packing, quality, secrets, sharding, similarity, toxicity)
+    binary, counting, decontamination, language, manifest, packing, quality, secrets, sharding, similarity, toxicity)
 from gazette_lake.llm.common import benchmark, documents, labels, tokenizer_file
+from gazette_lake.llm.oracles import ORACLES as SQL
 
 WORDS, BYTES, SUBWORDS = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 
@@ -51,8 +52,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(documents(spark, sf_dir), tokenizer_file(WORDS), end_id=0, capacity=2048)
 
 
-REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op2_toxicity, op3_token_counts, op4_shards, op5_decontamination, op6_language, op7_secrets, op8_token_files, op9_quality, op10_packing)}
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return manifest.manifest(
+        docs, ["doc_id", "source", "lang", "n_chars", "text"], "lang", tampered=manifest.lowered_third(docs))
 
-# Checksums, tokenizer files and trained models have no counterpart in SQL; tests compare with brute force.
-ORACLES: dict[str, str] = {}
+
+REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_ngram_jaccard, op2_toxicity, op3_token_counts, op4_shards, op5_decontamination, op6_language, op7_secrets,
+    op8_token_files, op9_quality, op10_packing, op11_manifest)}
+
+# Tokenizer files and trained models have no counterpart in SQL; tests compare with brute force.
+ORACLES: dict[str, str] = dict(SQL)
