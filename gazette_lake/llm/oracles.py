@@ -61,4 +61,30 @@ def manifest_sql() -> str:
     from high_fold{TOP_LEVELS}"""
 
 
-ORACLES: dict[str, str] = {"op11_manifest": manifest_sql()}
+def spelling_sql() -> str:
+    """Near words by shared remainders: one letter left out at the same place, or of the longer word only."""
+    hashed = crc32_sql("encode(concat(cast(doc_id as varchar), ':', run))")
+    return f"""
+    with recursive runs as (select doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run from documents),
+        counted as (select doc_id, run, count(*) as n from runs group by doc_id, run),
+        hashed as (select run, n, {hashed} as h from counted),
+        written as (select n, case when h % 31 = 0
+            then substr(run, 1, cast(h % length(run) as bigint)) || substr(run, cast(h % length(run) as bigint) + 2) else run end as word from hashed),
+        words as (select word, cast(sum(n) as bigint) as n from written where length(word) >= 7 group by word having sum(n) >= 2),
+        places as (select word, n, unnest(range(1, length(word) + 1)) as place from words),
+        remains as (select word, n, place, substr(word, 1, place - 1) || substr(word, place + 1) as rest from places),
+        shorter as (select distinct r.word, r.n, w.word as other, w.n as other_n from remains r join words w on w.word = r.rest),
+        pairs as (
+            select a.word, b.word as other, b.n as other_n from remains a join remains b on a.rest = b.rest and a.place = b.place and a.word <> b.word
+            union all select word, other, other_n from shorter
+            union all select other, word, n from shorter),
+        ranked as (select *, row_number() over (partition by word order by other_n desc, other) as k, count(*) over (partition by word) as near from pairs),
+        known as (select w.word, w.n, coalesce(r.near, 0) as n_near, case when r.other_n >= 10 * w.n then r.other end as form,
+            case when r.other_n >= 10 * w.n then r.other_n end as form_n from words w left join ranked r on r.word = w.word and r.k = 1),
+        ends as (select word, coalesce(form, word) as at, form is null as done from known
+            union all select e.word, coalesce(k.form, e.at), k.form is null from ends e join known k on k.word = e.at where not e.done)
+    select k.word, k.form, e.at as root, k.n, k.n_near, k.form_n from known k join ends e on e.word = k.word and e.done"""
+
+
+ORACLES: dict[str, str] = {"op11_manifest": manifest_sql(), "op13_spelling": spelling_sql()}

@@ -5,7 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gazette_lake.llm import (
-    binary, counting, decontamination, language, manifest, neighbours, packing, quality, secrets, sharding, similarity, toxicity)
+    binary, counting, decontamination, language, manifest, neighbours, packing, quality, secrets, sharding, similarity, spelling,
+    toxicity)
 from gazette_lake.llm.common import benchmark, documents, labels, tokenizer_file
 from gazette_lake.llm.oracles import ORACLES as SQL
 
@@ -62,9 +63,13 @@ def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), every=20, k=20)
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir), least_length=7, least_n=2, times=10, spoilt=True)
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_ngram_jaccard, op2_toxicity, op3_token_counts, op4_shards, op5_decontamination, op6_language, op7_secrets,
-    op8_token_files, op9_quality, op10_packing, op11_manifest, op12_neighbours)}
+    op8_token_files, op9_quality, op10_packing, op11_manifest, op12_neighbours, op13_spelling)}
 
 # Tokenizer files and trained models have no counterpart in SQL; tests compare with brute force.
 ORACLES: dict[str, str] = dict(SQL)
