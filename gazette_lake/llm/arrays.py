@@ -5,6 +5,7 @@ a processor's cache however many rows a batch has.  One very long text is a slic
 """
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -76,10 +77,18 @@ class _Powers:
         return cls.up, cls.down
 
 
+LONG = 64  # items; longer ranges are hashed by their bytes, too
+
+
 class RangeHash:
-    """Hashes of ranges of a sequence, each in constant time.  Equal ranges have equal hashes."""
+    """Hashes of ranges of a sequence, each in constant time.  Equal ranges have equal hashes.
+
+    Sums of powers alone would give some long ranges of very regular order the same hash, whatever
+    the base, so a longer range than ``LONG`` adds a digest of its own.
+    """
 
     def __init__(self, items: np.ndarray):
+        self.items = items
         up, self.down = _Powers.reach(len(items) + 1)
         terms = items.astype(np.uint64)
         terms += np.uint64(1)
@@ -91,7 +100,14 @@ class RangeHash:
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         value = (self.sums[ends] - self.sums[starts]) * self.down[starts]
-        return mix(value + (ends - starts).astype(np.uint64))
+        value += (ends - starts).astype(np.uint64)
+        long = np.flatnonzero(ends - starts > LONG)
+        if len(long):
+            raw, size = memoryview(np.ascontiguousarray(self.items)).cast("B"), self.items.itemsize
+            value[long] ^= np.fromiter((
+                int.from_bytes(blake2b(raw[a * size:b * size], digest_size=8).digest(), "little")
+                for a, b in zip(starts[long].tolist(), ends[long].tolist())), np.uint64, len(long))
+        return mix(value)
 
 
 _SPACE = np.zeros(256, bool)

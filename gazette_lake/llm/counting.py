@@ -18,18 +18,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gazette_lake.llm import arrays, common
-from gazette_lake.llm.encoders import load
+from gazette_lake.llm.encoders import PieceTexts, load
 
 FREQUENT = 1 << 15  # entries of the table at most
-TABLE_BITS = 18  # its slots: 2**18 of 10 bytes, 2.6 MB
+TABLE_BITS = 18  # its slots: 2**18 of 12 bytes, 3 MB, and the pre-tokens' characters, 8 MB at most
 PER_TASK = 1 << 11  # pre-tokens that a task hands on
 HELD = 1 << 18  # distinct pre-tokens that a task counts at a time
+LONGEST = 64  # characters of a pre-token in the table; longer ones are left to the workers' caches
 
 
 def frequent_pieces(docs: DataFrame, tokenizer: str, tables: Broadcast) -> DataFrame:
     """Frequent pre-tokens of all texts, with their counts, the most frequent first.
 
-    A task that meets more than ``HELD`` distinct ones goes on with the more frequent half.
+    A task that meets more than ``HELD`` distinct ones goes on with the more frequent half.  Two that
+    share a hash count as one here, which decides no count of tokens.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -38,13 +40,15 @@ def frequent_pieces(docs: DataFrame, tokenizer: str, tables: Broadcast) -> DataF
         most = lambda n: sorted(held.items(), key=lambda x: -x[1][0])[:n]
         for rows in arrays.slices(batches):
             cp, starts, ends, _ = encoder.pieces(*arrays.text_bytes(rows.column(0)))
+            short = ends - starts <= LONGEST
+            starts, ends = starts[short], ends[short]
             keys, first, counts = np.unique(
                 arrays.RangeHash(cp)(starts, ends), return_index=True, return_counts=True)
             for key, at, n in zip(keys.tolist(), first.tolist(), counts.tolist()):
                 if key in held:
                     held[key][0] += n
                 else:
-                    held[key] = [n, cp[starts[at]:ends[at]]]
+                    held[key] = [n, cp[starts[at]:ends[at]].copy()]  # no view, which would keep the whole slice
             if len(held) > HELD:
                 held = dict(most(HELD // 2))
         top = [(piece.tobytes().decode("utf-32-le"), n) for _, (n, piece) in most(PER_TASK)]
@@ -60,19 +64,25 @@ class LengthTable:
 
     def __init__(self, pieces: list[str], tokenizer: str):
         self.key = np.zeros(1 << TABLE_BITS, np.uint64)
-        self.length = np.zeros(1 << TABLE_BITS, np.uint16)
+        self.number = np.zeros(1 << TABLE_BITS, np.int32)
+        self.texts = PieceTexts(pieces)
         encoded = load(tokenizer).encode_batch_fast(pieces, add_special_tokens=False)
-        for piece, tokens in list(zip(pieces, encoded))[::-1]:
-            cp = np.frombuffer(piece.encode("utf-32-le"), np.uint32)
+        self.length = np.array([len(tokens.ids) for tokens in encoded] or [0], np.int64)
+        for number in range(len(pieces) - 1, -1, -1):
+            cp = np.frombuffer(pieces[number].encode("utf-32-le"), np.uint32)
             key = arrays.RangeHash(cp)(np.array([0]), np.array([len(cp)]))[0]
-            if len(tokens.ids) < 1 << 16:
-                slot = int(key >> np.uint64(64 - TABLE_BITS))
-                self.key[slot], self.length[slot] = key, len(tokens.ids)
+            slot = int(key >> np.uint64(64 - TABLE_BITS))
+            self.key[slot], self.number[slot] = key, number
 
-    def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Lengths, and which pre-tokens have none here."""
+    def look_up(self, cp: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths, and which pre-tokens have none here.  Those with an entry's hash are compared with it."""
+        hashes = arrays.RangeHash(cp)(starts, ends)
         slot = (hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-        return self.length[slot].astype(np.int64), self.key[slot] != hashes
+        number = self.number[slot]
+        missed = self.key[slot] != hashes
+        hit = np.flatnonzero(~missed)
+        missed[hit] = ~self.texts.same(cp, starts[hit], ends[hit], number[hit])
+        return self.length[number], missed
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 1024, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -93,7 +103,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 1024, id: str = "
         for rows in arrays.slices(batches):
             data, offsets = arrays.text_bytes(rows.column(1))
             cp, starts, ends, first = encoder.pieces(data, offsets)
-            lengths, missed = table.value.look_up(arrays.RangeHash(cp)(starts, ends))
+            lengths, missed = table.value.look_up(cp, starts, ends)
             missed = np.flatnonzero(missed)
             lengths[missed] = encoder.counts(cp, starts[missed], ends[missed])
             tokens = arrays.sum_rows(lengths, first)

@@ -16,6 +16,7 @@ from gazette_lake.llm.arrays import RangeHash
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
 CACHE_BITS = 20  # slots of a worker's cache: 2**20, 12 MB
 STORE_IDS = 1 << 23  # ids that a worker keeps before it starts afresh: 32 MB
+STORE_CHARACTERS = 1 << 24  # and characters: 64 MB
 
 # The endings that the public patterns split off after an apostrophe.
 _ONE, _TWO = "stmd", ("re", "ve", "ll")
@@ -107,6 +108,36 @@ def word_level_pieces(cp, offsets, tables) -> tuple[np.ndarray, np.ndarray]:
     return starts, limits[np.searchsorted(limits, starts, "right")]
 
 
+class PieceTexts:
+    """Characters of many pre-tokens, to compare others with."""
+
+    def __init__(self, pieces: list[str] = ()):
+        self.characters, self.starts, self.used, self.n = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), 0, 0
+        self.add(list(pieces))
+
+    def add(self, pieces: list[str]) -> None:
+        new = np.frombuffer("".join(pieces).encode("utf-32-le"), np.uint32)
+        while self.used + len(new) > len(self.characters):
+            self.characters = np.concatenate([self.characters, np.zeros_like(self.characters)])
+        while self.n + len(pieces) + 1 > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+        self.characters[self.used:self.used + len(new)] = new
+        self.starts[self.n + 1:self.n + len(pieces) + 1] = self.used + np.cumsum([len(piece) for piece in pieces], dtype=np.int64)
+        self.used, self.n = self.used + len(new), self.n + len(pieces)
+
+    def same(self, cp: np.ndarray, starts: np.ndarray, ends: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """Whether each range of ``cp`` is the pre-token of that number."""
+        length, begin = ends - starts, self.starts[number]
+        alike = self.starts[number + 1] - begin == length
+        length = np.where(alike, length, 0)
+        after = np.cumsum(length)
+        place = np.arange(after[-1] if len(after) else 0)
+        differ = cp[place + np.repeat(starts - after + length, length)] != self.characters[place + np.repeat(begin - after + length, length)]
+        if differ.any():
+            alike[np.searchsorted(after, np.flatnonzero(differ), "right")] = False
+        return alike
+
+
 class Encoder:
     """Ids of many texts.  One object per worker and tokenizer file.
 
@@ -135,6 +166,7 @@ class Encoder:
         self.key[:] = 0
         self.ids = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 16, np.int32)
+        self.pieces_text = PieceTexts()
         self.used_ids = self.used = 0
 
     def _ids_of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -149,6 +181,7 @@ class Encoder:
 
     def _learn(self, pieces: list[str]) -> np.ndarray:
         flat, counts = self._ids_of(pieces)
+        self.pieces_text.add(pieces)
         while self.used_ids + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while self.used + len(counts) + 1 > len(self.starts):
@@ -161,8 +194,11 @@ class Encoder:
         return entries
 
     def _entries(self, cp, starts, ends) -> np.ndarray:
-        """The store's entry of each pre-token.  Each may lie in either of two slots."""
-        if self.used_ids > STORE_IDS:
+        """The store's entry of each pre-token.  Each may lie in either of two slots.
+
+        Hashes only say where to look: what is found there is compared, character by character.
+        """
+        if self.used_ids > STORE_IDS or self.pieces_text.used > STORE_CHARACTERS:
             self._clear()
         hashes = RangeHash(cp)(starts, ends)
         slot = (hashes >> np.uint64(64 - CACHE_BITS)).astype(np.int64)
@@ -183,6 +219,12 @@ class Encoder:
             self.entry[into] = learnt  # where several want one slot, the last stays
             last = self.entry[into] == learnt
             self.key[into[last]] = keys[last]
+        others = np.flatnonzero(~self.pieces_text.same(cp, starts, ends, entry))
+        if len(others):  # another pre-token has the same hash
+            text = cp.tobytes().decode("utf-32-le")
+            pieces = [text[a:b] for a, b in zip(starts[others].tolist(), ends[others].tolist())]
+            number = {piece: i for i, piece in enumerate(dict.fromkeys(pieces))}
+            entry[others] = self._learn(list(number))[[number[piece] for piece in pieces]]
         return entry
 
     def counts(self, cp, starts, ends) -> np.ndarray:

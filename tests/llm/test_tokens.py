@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tests_llm_rows import ODD
+from tests_llm_rows import ODD, thue_morse
 
 from gazette_lake.llm import arrays, binary, counting, packing
 from gazette_lake.llm.common import tokenizer_file
@@ -52,6 +52,30 @@ def test_ids_equal_the_library_on_any_text(encoders, texts):
         check(encoders[path], path, texts, 50)
 
 
+def test_a_shared_hash_changes_no_ids(monkeypatch):
+    class Coarse(arrays.RangeHash):
+        def __call__(self, starts, ends):
+            return super().__call__(starts, ends) % np.uint64(3) + np.uint64(1 << 60)
+
+    monkeypatch.setattr("gazette_lake.llm.encoders.RangeHash", Coarse)
+    monkeypatch.setattr(arrays, "RangeHash", Coarse)
+    for path in (BYTES, WORDS):
+        check(Encoder(path, character_tables(), path == WORDS), path, [text for _, text in ODD if len(text or "") < 5000], 1000)
+    table = counting.LengthTable([" river", " stone", "the"], BYTES)
+    cp = np.frombuffer("the river stoned".encode("utf-32-le"), np.uint32)
+    lengths, missed = table.look_up(cp, np.array([0, 3, 9]), np.array([3, 9, 16]))
+    assert missed[2] and not missed.all() and (lengths[~missed] == 1).all()
+
+
+def test_long_ranges_of_regular_order_differ():
+    for dtype in (np.uint8, np.uint32):
+        a, b = (np.array([ord(c) for c in thue_morse(*pair, 4096)], dtype) for pair in (("o", "n"), ("n", "o")))
+        both = arrays.RangeHash(np.concatenate([a, b, a]))
+        for n in (65, 128, 512, 1024, 2048, 4096):
+            first, second, third = both(np.array([0, 4096, 8192]), np.array([0, 4096, 8192]) + n)
+            assert first != second and first == third
+
+
 def test_a_full_cache_starts_afresh(monkeypatch):
     monkeypatch.setattr("gazette_lake.llm.encoders.STORE_IDS", 50)
     encoder = Encoder(WORDS, character_tables(), True)
