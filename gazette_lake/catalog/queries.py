@@ -129,9 +129,9 @@ def blocks_per_page(spark, sf):
 
 @query
 def gather_pages(spark, sf):
-    placed = blocks.gather(stage(listing_data.result_pages(listing_data.listing(spark, sf)), "pages"))
-    return placed.select(
-        "search_id", "page", "pos", "search_pos", html.company_name(html.paragraphs(F.col("block"))).alias("company_name"))
+    rows = _blocks(spark, sf).select(
+        "search_id", "page", "pos", html.company_name(html.paragraphs(F.col("block"))).alias("company_name"))
+    return blocks.gather(stage(rows, "rows"))
 
 
 @query
@@ -357,9 +357,8 @@ def incremental_anti(spark, sf):
 @query
 def incremental_anti_prefix(spark, sf):
     short = F.when(F.length("company_name") % 2 == 0, F.substring("vat", 1, 6)).otherwise(F.col("vat"))
-    rows = frames.typed_rows(spark, sf).withColumn("vat", short)
-    fresh = stored.not_stored_prefix(rows, frames.stored_index(spark, sf))
-    return fresh.select("search_id", "page", "pos", "vat", "publication_number")
+    rows = frames.typed_rows(spark, sf).select("search_id", "page", "pos", short.alias("vat"), "publication_number")
+    return stored.not_stored_prefix(stage(rows, "rows"), frames.stored_index(spark, sf))
 
 
 def _downloads(spark, sf):
@@ -523,7 +522,7 @@ def word_boxes(spark, sf):
 
 @query
 def latest_by_key(spark, sf):
-    first = frames.plain_records(spark, sf)
+    first = stage(frames.plain_records(spark, sf).select("blob_key", "pubid", "text", "ingest_seq"), "first")
     again = first.filter("cast(pubid as bigint) % 4 = 0").withColumns({
         "text": F.concat("text", F.lit(", again")), "ingest_seq": F.lit(2).cast("bigint")})
     return lake.latest(first.unionAll(again)).select("blob_key", "text", "ingest_seq")
@@ -531,21 +530,25 @@ def latest_by_key(spark, sf):
 
 @query
 def select_by_tag(spark, sf):
-    first = frames.plain_records(spark, sf)
+    first = stage(frames.plain_records(spark, sf), "first")
     done = sinks.mark_status(first.filter("cast(pubid as bigint) % 3 = 0"), "summarized", 2)
     return lake.select_by_tag(first.unionAll(done)).select("blob_key", "vat", "publication_date", "status")
 
 
+def _written_twice(spark, sf):
+    """Keys of records, every fourth one rewritten with another status."""
+    first = stage(frames.plain_records(spark, sf).select("blob_key", "vat", "pubid", "publication_number", "status", "ingest_seq"), "first")
+    return first.unionAll(sinks.mark_status(first.filter("cast(pubid as bigint) % 4 = 0"), "summarized", 2))
+
+
 @query
 def lake_counts(spark, sf):
-    first = frames.plain_records(spark, sf)
-    again = sinks.mark_status(first.filter("cast(pubid as bigint) % 4 = 0"), "summarized", 2)
-    return lake.lake_counts(first.unionAll(again).select("blob_key", "vat"))
+    return lake.lake_counts(_written_twice(spark, sf).select("blob_key", "vat"))
 
 
 def _added(spark, sf):
     """Records of a run, some of them written twice."""
-    records = frames.plain_records(spark, sf).select("blob_key", "vat")
+    records = stage(frames.plain_records(spark, sf).select("blob_key", "vat"), "added")
     return records.unionAll(records.filter("substr(vat, -1) = '7'"))
 
 

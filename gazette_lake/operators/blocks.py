@@ -18,24 +18,21 @@ def page_blocks(pages: DataFrame, **grammar) -> DataFrame:
     return found.withColumn("pos", F.col("_index") + 1).drop("_index")
 
 
-def gather(pages: DataFrame, name: str = "search_pos", **grammar) -> DataFrame:
-    """The blocks of all pages, with the place of each among all blocks of its search, in page order.
+def gather(rows: DataFrame, name: str = "search_pos") -> DataFrame:
+    """Rows of parsed pages, with the place of each among all blocks of its search, in page order.
 
-    Blocks are not ranked.  A page knows how many it has, so the blocks before a page are a sum
-    over narrow rows: over the segments before its own, and over the pages of its segment.  The
-    sum is put beside the page before the page is cut.
+    ``rows`` (search_id, page, pos and what was read from the block) should be a written table: pages are
+    cut once, and their HTML is gone before anything is exchanged.  Blocks are not ranked.  A page's count
+    of rows is added up along the search in two levels, over the segments before its own and over the
+    pages of its segment, and put beside its rows.
     """
-    number = F.coalesce("page", F.lit(1)).alias("page")
-    kept = pages.filter(html.has_results(F.col("html"), F.col("page")))
-    counted = kept.select("search_id", number, F.size(html.page_blocks(F.col("html"), **grammar)).alias("_n"))
-    split = counted.withColumn("_segment", segment())
+    counted = rows.groupBy("search_id", segment().alias("_segment"), "page").agg(F.count(F.lit(1)).alias("_n"))
     earlier = lambda window: F.coalesce(F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    segments = split.groupBy("search_id", "_segment").agg(F.sum("_n").alias("_n")).select(
+    segments = counted.groupBy("search_id", "_segment").agg(F.sum("_n").alias("_n")).select(
         "search_id", "_segment", earlier(Window.partitionBy("search_id").orderBy("_segment")).alias("_above"))
-    within = split.withColumn("_inside", earlier(Window.partitionBy("search_id", "_segment").orderBy("page"))).drop("_n")
+    within = counted.withColumn("_inside", earlier(Window.partitionBy("search_id", "_segment").orderBy("page"))).drop("_n")
     before = within.join(segments, ["search_id", "_segment"]).select("search_id", "page", (F.col("_above") + F.col("_inside")).alias("_before"))
-    placed = lookup(kept.withColumn("page", number), before, ["search_id", "page"], ["url"])
-    return page_blocks(placed, **grammar).withColumn(name, F.col("_before") + F.col("pos")).drop("_before")
+    return lookup(rows, before, ["search_id", "page"], ["pos"]).withColumn(name, F.col("_before") + F.col("pos")).drop("_before")
 
 
 def block_parts(blocks: DataFrame) -> DataFrame:

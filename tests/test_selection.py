@@ -6,8 +6,11 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from gazette_lake import schemas
 from gazette_lake.operators import blocks, cutoff, frontier, lake, rejects, reports, stored
+from gazette_lake.operators.bitfilter import with_maybe
 from gazette_lake.operators.ordering import Bucket, with_position
+from gazette_lake.session import stage
 
 
 def listing(rng, searches=6, size=300):
@@ -61,7 +64,7 @@ def test_gather(spark):
     rng = random.Random(4)
     sizes = {(search, page): rng.randrange(4) for search in "ab" for page in rng.sample(range(1, 3000), 40)}
     sizes |= {("unpaged", None): 3}
-    got = {(r.search_id, r.page, r.pos): r.search_pos for r in blocks.gather(html_pages(spark, sizes)).collect()}
+    got = {(r.search_id, r.page, r.pos): r.search_pos for r in blocks.gather(blocks.page_blocks(html_pages(spark, sizes))).collect()}
     for search in ("a", "b", "unpaged"):
         walk = [(search, page or 1, pos) for (s, page), n in sorted(sizes.items(), key=str if search == "unpaged" else lambda x: (x[0][0], x[0][1] or 1))
                 if s == search for pos in range(1, n + 1)]
@@ -85,9 +88,11 @@ def test_no_window_over_a_whole_search(spark):
     plan = cutoff.with_cutoff(frame, F.lit(date(2010, 1, 1)), F.col("d"))._jdf.queryExecution().optimizedPlan().toString()
     window = plan.index("Window")
     assert "Aggregate" in plan[window:]  # it runs over segments, which are aggregated below it
-    gathered = blocks.gather(html_pages(spark, {("a", 1): 1}))
-    windows = [x for x in gathered._jdf.queryExecution().optimizedPlan().toString().splitlines() if " Window " in x]
-    assert len(windows) == 2 and not any("html" in x or "row_number" in x for x in windows)
+    parsed = stage(blocks.page_blocks(html_pages(spark, {("a", 1): 1})).drop("block"), "parsed")
+    gathered = blocks.gather(parsed)._jdf.queryExecution()
+    windows = [x for x in gathered.optimizedPlan().toString().splitlines() if " Window " in x]
+    assert len(windows) == 2 and not any("row_number" in x for x in windows)
+    assert "html" not in gathered.executedPlan().toString()
 
 
 INDEX = [("4711", "1"), ("4711", "1"), ("4712", "2"), ("", "3"), (None, "4")]
@@ -116,6 +121,27 @@ def test_incremental_join(new_and_index):
 def test_prefix_join(new_and_index):
     rows, index = new_and_index
     assert ids(stored.not_stored_prefix(rows, index)) == [2, 3, 6, 7, 8]
+    assert ids(stored.not_stored_prefix(rows, index.limit(0))) == [1, 2, 3, 4, 5, 6, 7, 8]
+
+
+@pytest.mark.parametrize("parts", ["1", "7", "64"])
+def test_prefixes_of_any_length_over_many_ranges(spark, parts):
+    rng = random.Random(int(parts))
+    word = lambda most: "".join(rng.choice("12\u00e9\U0001f600") for _ in range(rng.randint(0, most)))
+    known = [(word(6), rng.choice("ab")) for _ in range(60)] + [(word(9), "hot") for _ in range(200)]
+    rows = [(i, word(4), rng.choice(["a", "b", "hot", "hot", None])) for i in range(500)]
+    frame = stage(spark.createDataFrame(rows, "id int, vat string, publication_number string"), "rows")
+    index = spark.createDataFrame(known, "vat string, publication_number string")
+    settings = {"spark.sql.shuffle.partitions": parts, "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        got = ids(stored.not_stored_prefix(frame, index))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert got == [i for i, vat, n in rows if not (vat and any(m == n and v.startswith(vat) for v, m in known))]
 
 
 def test_rows_without_key_are_spread(spark):
@@ -175,17 +201,58 @@ def test_text_reason(spark):
     assert read(False) == [None, "scan_without_ocr", "not_extracted"]
 
 
-def test_latest_with_a_hot_key(spark):
-    rows = spark.range(5_000).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("blob_key"),
-        F.col("id").alias("ingest_seq"), F.concat(F.lit("t"), "id").alias("text"), F.lit(None).cast("string").alias("n"))
-    got = {r.blob_key: r.text for r in lake.latest(rows).collect()}
-    want = {}
+def lake_of(spark, rows):
+    return stage(spark.createDataFrame(rows, "blob_key string, ingest_seq bigint, text string, n string"), "lake")
+
+
+@pytest.mark.parametrize("few", [1 << 17, 0])
+def test_latest_with_a_hot_key(spark, monkeypatch, few):
+    monkeypatch.setattr(lake, "FEW_KEYS", few)
+    rows, want = [], {}
     for i in range(5_000):
-        want["hot" if i % 3 == 0 else f"k{i % 50}"] = f"t{i}"
-    assert got == want
-    plan = lake.latest(rows)._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max_by" in plan and "Window" not in plan
+        key = "hot" if i % 3 == 0 else f"k{i % 50}" if i % 2 else f"once{i}"
+        rows.append((key, i, f"t{i}", None))
+        want[key] = f"t{i}"
+    frame = lake_of(spark, rows)
+    newest = lake.latest(frame)
+    assert {r.blob_key: r.text for r in newest.collect()} == want and newest.count() == len(want)
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "SortAggregate" in line and "bitmap_construct_agg" not in line]
+    assert not sorts and "Window" not in plan and "max_by" not in plan and ("bitmap_construct_agg" in plan) == (not few)
+    lookup = lake.versions(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in lookup and "text" not in lookup
+
+
+@pytest.mark.parametrize("few", [1 << 17, 0])
+def test_latest_of_tied_and_single_writes(spark, monkeypatch, few):
+    monkeypatch.setattr(lake, "FEW_KEYS", few)
+    tied = [("a", 1, "old", None), ("a", 2, "x", None), ("a", 2, "y", "z"), ("a", 2, "x", None), ("b", 5, "same", "s"), ("b", 5, "same", "s"),
+            ("c", 1, "one", None), ("d", 3, "d3", None), ("d", 4, "d4", None), (None, 1, "n1", None), (None, 2, "n2", None), ("e", 2, "e2", None), ("e", 2, "e2", None), ("e", 1, None, None)]
+    first = sorted(map(str, lake.latest(lake_of(spark, tied)).collect()))
+    assert first == sorted(map(str, lake.latest(lake_of(spark, tied[::-1])).collect()))
+    rows = lake.latest(lake_of(spark, tied)).collect()
+    assert {r.blob_key: r.text for r in rows if r.blob_key not in ("a", None)} == {"b": "same", "c": "one", "d": "d4", "e": "e2"}
+    assert [r.text in ("x", "y") for r in rows if r.blob_key == "a"] == [True]
+    once = lake_of(spark, [("a", 1, "t", None), ("b", 1, "u", None)])
+    assert lake.latest(once) is once
+    assert lake.latest(lake_of(spark, []).limit(0)).count() == 0
+
+
+def test_a_bitmap_loses_no_key(spark):
+    keys = spark.range(0, 3000, 3).select(F.concat(F.lit("k"), "id").alias("key"))
+    rows = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("key"), "id").unionAll(spark.sql("select null, -1L"))
+    for bits, most in ((1 << 26, 3), (1 << 15, 150)):
+        flagged = with_maybe(rows, keys, ["key"], bits=bits).collect()
+        assert len(flagged) == 3001 and all(r.maybe for r in flagged if r.id % 3 == 0 and r.id >= 0)
+        assert sum(r.maybe for r in flagged if r.id % 3) <= most
+    assert not with_maybe(rows, keys.limit(0), ["key"]).filter("maybe").count()
+
+
+def test_counts(spark):
+    frame = spark.createDataFrame([("1", "a"), ("1", "a"), ("1", "b"), ("2", "c"), (None, "d")], "vat string, blob_key string")
+    assert tuple(lake.lake_counts(frame).first()) == (2, 4)
+    assert tuple(lake.lake_counts(frame.limit(0)).first()) == (0, 0)
+    assert tuple(reports.counts_of_reports(spark.createDataFrame([], schemas.REPORTS)).first()) == (0, 0)
 
 
 def test_index_from_paths(spark):
