@@ -16,6 +16,7 @@ from gazette_lake.llm.arrays import RangeHash
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
 CACHE_BITS = 20  # slots of a worker's cache: 2**20, 12 MB
 STORE_IDS = 1 << 23  # ids that a worker keeps before it starts afresh: 32 MB
+COMPARED = 1 << 15  # characters compared at a time
 STORE_CHARACTERS = 1 << 24  # and characters: 64 MB
 
 # The endings that the public patterns split off after an apostrophe.
@@ -129,12 +130,21 @@ class PieceTexts:
         """Whether each range of ``cp`` is the pre-token of that number."""
         length, begin = ends - starts, self.starts[number]
         alike = self.starts[number + 1] - begin == length
-        length = np.where(alike, length, 0)
+        long = np.flatnonzero(alike & (length > COMPARED))
+        for i in long.tolist():
+            alike[i] = np.array_equal(cp[starts[i]:ends[i]], self.characters[begin[i]:begin[i] + length[i]])
+        length = np.where(alike & (length <= COMPARED), length, 0)
         after = np.cumsum(length)
-        place = np.arange(after[-1] if len(after) else 0)
-        differ = cp[place + np.repeat(starts - after + length, length)] != self.characters[place + np.repeat(begin - after + length, length)]
-        if differ.any():
-            alike[np.searchsorted(after, np.flatnonzero(differ), "right")] = False
+        limits = np.searchsorted(after, np.arange(0, after[-1] if len(after) else 0, COMPARED), "left")
+        for a, b in zip(limits.tolist(), [*limits[1:].tolist(), len(length)]):  # some ``COMPARED`` characters at a time
+            size = length[a:b]
+            to = np.cumsum(size)
+            place = np.arange(to[-1] if len(to) else 0)
+            here = np.repeat(starts[a:b] - to + size, size) + place
+            there = np.repeat(begin[a:b] - to + size, size) + place
+            differ = np.flatnonzero(cp[here] != self.characters[there])
+            if len(differ):
+                alike[a + np.searchsorted(to, differ, "right")] = False
         return alike
 
 
