@@ -5,26 +5,37 @@
     python -m gazette_lake next PAGES OUT
     python -m gazette_lake pdfs TABLES MANIFEST ROOT OUT
     python -m gazette_lake compact LAKE OUT
+    python -m gazette_lake compact-months LAKE
+    python -m gazette_lake held TABLES OUT
+    python -m gazette_lake counts TABLES OUT
+    python -m gazette_lake summarize TABLES MODULE:FUNCTION [--tasks N] [--retry]
+    python -m gazette_lake unanswered TABLES OUT
     python -m gazette_lake ingest PAGES FETCH_RESULTS DOCUMENTS OUT [--no-ocr] [--ignore-robots]
 
 SEEDS and FETCH_RESULTS are Parquet tables in the schemas of ``schemas.py``.  DOCUMENTS has
 one row per pdf: publication_link, doc_id, pages, geometry, page_texts.  The frontier jobs
 write (search, page, url) tables for whatever fetches pages; ``pdfs`` lists the pdfs that rows of the ingest
-tables wait for and that MANIFEST, a table of files below ROOT, does not have.
+tables wait for and that MANIFEST, a table of files below ROOT, does not have.  ``compact`` writes a new lake,
+``compact-months`` merges in place the months that several ingests wrote.  ``held`` lists searches that wait for a
+page, ``counts`` sums up the run reports.  ``summarize`` asks FUNCTION, which takes a list of messages and returns
+a text, once for every unprocessed publication; ``unanswered`` lists those it was asked for in vain.
 """
 
 import argparse
+import importlib
 from datetime import date
 
 from pyspark.sql import functions as F
 
 from gazette_lake import schemas
 from gazette_lake.operators import frontier, layout, stored
+from gazette_lake.plans import bookkeeping, summarize
 from gazette_lake.plans.listing import Rules
 from gazette_lake.session import build_session
+from gazette_lake.sources.compaction import compact_months
 from gazette_lake.sources.landed import read_lake, read_pages, read_pdf_manifest
 from gazette_lake.sources.sinks import compact_lake
-from gazette_lake.streaming.ingest import ingest_stream, waiting_rows
+from gazette_lake.streaming.ingest import held_searches, ingest_stream, waiting_rows
 
 
 def arguments() -> argparse.Namespace:
@@ -41,6 +52,15 @@ def arguments() -> argparse.Namespace:
         parser_of = jobs.add_parser(job)
         for name in names:
             parser_of.add_argument(name)
+    for job, names in (("compact-months", ["lake"]), ("held", ["tables", "out"]), ("counts", ["tables", "out"]), ("unanswered", ["tables", "out"])):
+        parser_of = jobs.add_parser(job)
+        for name in names:
+            parser_of.add_argument(name)
+    asking = jobs.add_parser("summarize")
+    asking.add_argument("tables")
+    asking.add_argument("function")
+    asking.add_argument("--tasks", type=int)
+    asking.add_argument("--retry", action="store_true")
     ingest = jobs.add_parser("ingest")
     for name in ("pages", "fetch_results", "documents", "out"):
         ingest.add_argument(name)
@@ -68,6 +88,17 @@ def main() -> None:
         waiting.select("publication_link").distinct().write.parquet(args.out)
     elif args.job == "compact":
         compact_lake(read_lake(spark, args.lake), args.out)
+    elif args.job == "compact-months":
+        compact_months(spark, args.lake)
+    elif args.job == "held":
+        held_searches(spark, args.tables).write.parquet(args.out)
+    elif args.job == "counts":
+        bookkeeping.lake_counts(spark, args.tables).write.parquet(args.out)
+    elif args.job == "summarize":
+        module, name = args.function.split(":")
+        summarize.run(spark, args.tables, getattr(importlib.import_module(module), name), args.tasks, args.retry)
+    elif args.job == "unanswered":
+        summarize.unanswered(spark, args.tables).write.parquet(args.out)
     else:
         documents = spark.read.schema(schemas.DOCUMENTS).parquet(args.documents)
         texts = layout.with_text(documents, ocr=not args.no_ocr).select("publication_link", "text", "is_digital")

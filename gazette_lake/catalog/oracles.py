@@ -428,6 +428,10 @@ oracle("skip_stored", ["typed", "index_rows"], f"""
 select {_AT}, exists (select 1 from index_rows i where i.vat = t.vat and i.publication_number = t.publication_number) as stored
 from typed t
 """)
+oracle("skip_stored_indexed", ["typed", "index_rows"], f"""
+select {_AT}, exists (select 1 from index_rows i where i.vat = t.vat and i.publication_number = t.publication_number) as stored
+from typed t
+""")
 oracle("incremental_anti", ["typed", "index_rows"], f"""
 select {_AT}, vat, publication_number from typed t where not exists (
   select 1 from index_rows i where i.vat = t.vat and i.publication_number = t.publication_number)
@@ -519,6 +523,13 @@ oracle("select_by_tag", ["records"], """
 select blob_key, vat, publication_date, 'unprocessed' as status from records where cast(pubid as bigint) % 3 <> 0
 """)
 oracle("lake_counts", ["records"], "select count(distinct vat) as companies, count(distinct blob_key) as publications from records")
+oracle("lake_counts_kept", ["records"], "select count(distinct vat) as companies, count(distinct blob_key) as publications from records")
+oracle("compact_months", ["records"], """
+, marked as (select *, substr(publication_date, 1, 7) as month, substr(publication_date, 6, 2) = '03' and cast(pubid as bigint) % 5 = 0 as again from records)
+select blob_key, case when again then 'summarized' else 'unprocessed' end as status, text,
+  cast(case when max(cast(again as integer)) over (partition by month) = 1 then 2 else 1 end as bigint) as ingest_seq
+from marked
+""")
 oracle("new_companies", ["records", "index_rows"], """
 select distinct vat from records where vat not in (select vat from index_rows)
 """)
@@ -540,6 +551,10 @@ where not below_cutoff and ok and pdate is not null and vat is not null
 """
 
 
+oracle("unfinished_searches", ["fetched_counts"], """
+select search_id, cast(max(page) as integer) as last_page, count(*) as n_pages from fetched_counts group by search_id
+having arg_max(n_blocks, page) = 100 or count(*) <> max(page)
+""")
 _INGEST = ["cut", "results", "texts", "all_counts"]
 oracle("stream_ingest", _INGEST, _ingested("0"))
 oracle("ingest_late_text", _INGEST, _ingested("(k // 15) % 2"))
@@ -569,3 +584,6 @@ select blob_key, '2 messages, ' || length({_QUESTION}) || ' characters' as summa
 oracle("summaries", ["published"], f"""
 select blob_key, company_name, '2 messages, ' || length({_QUESTION}) || ' characters' as summary from published
 """)
+oracle("summarize", ["published"], f"""
+select blob_key, 'summarized' as status, '2 messages, ' || length({_QUESTION}) || ' characters' as summary from published
+""")

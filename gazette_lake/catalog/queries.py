@@ -13,9 +13,15 @@ from gazette_lake.functions import fields, html, urls
 from gazette_lake.functions import geometry as g
 from gazette_lake.operators import blocks, cutoff, frontier, lake, layout, prompts, rejects, reports, stored
 from gazette_lake.operators.unnest import unnest
+from gazette_lake.plans import summarize as summarizing
+from gazette_lake.plans.bookkeeping import ENTRY, record_rewrites
+from gazette_lake.plans.bookkeeping import lake_counts as kept_counts
+from gazette_lake.plans.listing import cut_pages
+from gazette_lake.plans.listing import unfinished_searches as find_unfinished
 from gazette_lake.plans.publish import with_extraction
 from gazette_lake.session import new_folder, stage
-from gazette_lake.sources import landed, sinks
+from gazette_lake.sources import compaction, landed, sinks
+from gazette_lake.sources.index import entries_of, write_entries
 from gazette_lake.sources.tables import read_table, spread
 from gazette_lake.streaming.ingest import ingest_stream
 
@@ -348,6 +354,18 @@ def skip_stored(spark, sf):
     return flagged.select("search_id", "page", "pos", "stored")
 
 
+@query
+def skip_stored_indexed(spark, sf):
+    """``skip_stored`` by the index in buckets, written in two ingests."""
+    out = new_folder(spark, "indexed")
+    entries = stage(frames.stored_index(spark, sf), "entries")
+    for seq, half in enumerate(("not endswith(blob_key, '0.json')", "endswith(blob_key, '0.json')")):
+        write_entries(entries.filter(half), "index", out, seq)
+    rows = stage(frames.typed_rows(spark, sf).select("search_id", "page", "pos", *stored.KEYS), "rows")
+    index = entries_of(spark, "index", out, 2, rows)
+    return stored.with_stored(rows, index, ["search_id", "page", "pos"]).select("search_id", "page", "pos", "stored")
+
+
 @query
 def incremental_anti(spark, sf):
     fresh = stored.not_stored(frames.typed_rows(spark, sf), frames.stored_index(spark, sf))
@@ -546,6 +564,30 @@ def lake_counts(spark, sf):
     return lake.lake_counts(_written_twice(spark, sf).select("blob_key", "vat"))
 
 
+@query
+def lake_counts_kept(spark, sf):
+    """``lake_counts`` as the sum of what three ingests report, the later ones rewriting keys of the earlier."""
+    out = new_folder(spark, "kept")
+    records = stage(frames.plain_records(spark, sf).select("pubid", *ENTRY), "records")
+    turn = F.col("pubid").cast("bigint") % 3
+    for seq in range(3):
+        written = records.filter((turn == seq) | ((turn < seq) & F.col("pubid").endswith("7")))
+        record_rewrites(spark, out, seq, stage(written, "written"))
+    return kept_counts(spark, out)
+
+
+@query
+def compact_months(spark, sf):
+    """All rows of a lake, after a second ingest rewrote some records of March and the months in two ingests were merged."""
+    path = new_folder(spark, "months")
+    first = stage(frames.plain_records(spark, sf), "first")
+    sinks.write_lake(first, path, 1)
+    again = first.filter("pub_month = 3 and cast(pubid as bigint) % 5 = 0")
+    sinks.write_lake(sinks.mark_status(again, "summarized", 2), path, 2)
+    compaction.compact_months(spark, path)
+    return landed.read_lake(spark, path).select("blob_key", "status", "text", "ingest_seq")
+
+
 def _added(spark, sf):
     """Records of a run, some of them written twice."""
     records = stage(frames.plain_records(spark, sf).select("blob_key", "vat"), "added")
@@ -587,6 +629,13 @@ def _ingested(spark, out):
         "blob_key", "pubid", "company_juridical_form", "zipcode", "text", "is_digital", "ingest_seq", "pub_year", "pub_month")
 
 
+@query
+def unfinished_searches(spark, sf):
+    """Searches that cannot be decided in the middle of a crawl."""
+    cut = stage(cut_pages(listing_data.fetched_pages(listing_data.listing(spark, sf))).drop("blocks"), "cut")
+    return find_unfinished(cut).select("search_id", "last_page", "n_pages")
+
+
 @query
 def ingest_late_text(spark, sf):
     """Texts of every other document land after the pages' run."""
@@ -639,3 +688,14 @@ def summaries(spark, sf):
     published = stage(frames.published(spark, sf), "published")
     done = prompts.complete_with(prompts.prompt_table(published), stand_in)
     return prompts.summaries(published, done).select("blob_key", "company_name", "summary")
+
+
+@query
+def summarize(spark, sf):
+    """Two runs over a lake; the second finds nothing left to ask."""
+    out = new_folder(spark, "summarize")
+    published = stage(frames.published(spark, sf), "published")
+    sinks.write_lake(published, f"{out}/lake", 1)
+    for _ in range(2):
+        summarizing.run(spark, out, stand_in)
+    return summarizing.summarized(spark, out).select("blob_key", "status", "summary")

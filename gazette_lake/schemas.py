@@ -26,6 +26,9 @@ TYPED = (
     "pubid string, act_description string, company_name string, company_juridical_form string, address string, street string, "
     "zipcode string, city string, publication_date date, publication_number string, publication_link string"
 )
+PENDING = f"{TYPED}, tries int"
+CUT_PAGES = "search_id string, page int, search_vat string, start_date date, url string, blocks array<string>, n_blocks bigint"
+HELD = f"{CUT_PAGES}, held_since bigint"
 FETCH_RESULTS = "url string, ok boolean, path string"
 
 _PIECE = "struct<content:string, polygon:array<struct<x:double, y:double>>>"
@@ -45,5 +48,6 @@ REJECTS = "search_id string, page int, pos int, detail string, ingest_seq bigint
 REPORTS = "run_id string, new_companies bigint, new_publications bigint, company string, ingest_seq bigint"
 PDF_MANIFEST = "path string, modified timestamp, n_bytes bigint"
 PROMPTS = "blob_key string, messages array<struct<role:string, content:string>>"
+ANSWERS = "blob_key string, summary string, error string"
 COMPLETIONS = "blob_key string, summary string"
 DOCUMENTS = f"publication_link string, doc_id string, pages {OCR_PAGES}, geometry {GEOMETRY}, page_texts array<string>"
