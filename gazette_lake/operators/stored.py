@@ -35,7 +35,7 @@ def stored_prefixes(rows: DataFrame, index: DataFrame) -> DataFrame:
     spark, number = rows.sparkSession, "publication_number"
     asked = rows.select(*KEYS).filter(f"length(vat) > 0 and {number} is not null").distinct()
     kept = index.select(*KEYS).filter("length(vat) > 0").join(asked.select(number).distinct(), number, "left_semi").select(*KEYS).distinct()
-    both = asked.withColumn("_kept", F.lit(False)).unionAll(kept.withColumn("_kept", F.lit(True)))
+    both = stage(asked.withColumn("_kept", F.lit(False)).unionAll(kept.withColumn("_kept", F.lit(True))), "keys")  # ranges are sampled first
     ranges = stage(both.repartitionByRange(number, "vat").withColumn("_part", F.spark_partition_id()), "ranges")
     place = F.struct(F.col(number).alias("number"), F.col("vat").alias("vat"))
     # One row per range.
