@@ -110,6 +110,46 @@ def test_classes_and_links(spark, odd, none, monkeypatch, block):
         assert similarity.near_duplicates(none).count() == 0 and similarity.without_near_duplicates(none).count() == 0
 
 
+def grown(n, seed=5):
+    """Texts of one beginning and of many lengths: some are linked, others too long or too short for each other."""
+    rng, words = random.Random(seed), prose(1200, 10).split()
+    return [(5000 + i, " ".join(words[:rng.randint(60, 400)])) for i in range(n)]
+
+
+@pytest.mark.parametrize("texts, ngrams", [(1024, 1 << 20), (8, 1 << 20), (1024, 700)])
+def test_large_buckets_are_cut_by_size(spark, monkeypatch, texts, ngrams):
+    monkeypatch.setattr(similarity, "BLOCK_TEXTS", texts)
+    monkeypatch.setattr(similarity, "BLOCK_NGRAMS", ngrams)
+    rows = grown(120) + near_copies(30)
+    got = similarity.near_duplicates(frame(spark, rows)).collect()
+    want = expected_classes(rows)
+    assert Counter(map(tuple, got)) == want and len({c for _, c, _, _ in want}) < len(want)
+
+
+def test_sets_of_sizes_too_different_never_meet(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "BLOCK_TEXTS", 4)
+    sizes = stage(spark.range(400).select(F.lit(7).alias("key"), F.col("id").alias("node"), (F.col("id") + 5).alias("size")), "sizes")
+    met = similarity._dealt(sizes, 0.8).groupBy("i", "j").agg(F.min("size").alias("least"), F.max("size").alias("most"), F.count("*").alias("n")).collect()
+    assert all(r.most <= r.least / 0.8 ** 2 * 1.01 and r.n <= 30 for r in met)
+    dealt = similarity._dealt(sizes, 0.8).collect()
+    blocks = defaultdict(set)
+    for r in dealt:
+        blocks[r.i, r.j].add(r["size"])
+    for a in range(5, 405):
+        for b in range(a, min(int(a / 0.8), 404) + 1):
+            assert any(a in x and b in x for x in blocks.values())
+
+
+def test_boilerplate_chains_nothing(spark):
+    rng, common = random.Random(6), prose(100, 12)
+    rows = [(i, f"{common} " + " ".join(f"w{rng.randrange(10 ** 7)}" for _ in range(rng.randint(120, 180)))) for i in range(300)]
+    signed = similarity._signed(frame(spark, rows).withColumns(similarity.text_keys(F.col("text"))).select("doc_id", "text", "k1", "k2"), 5, similarity.bands_for(0.8, 0.9999, 5), 5)
+    buckets = similarity._buckets(stage(signed.select(F.explode("bands").alias("key"), F.col("row").alias("node")), "bands"))
+    pairs = buckets.groupBy("key").count().select(F.sum(F.expr("count * (count - 1) / 2"))).first()[0] or 0
+    assert pairs < 0.25 * 300 * 299 / 2
+    assert Counter(map(tuple, similarity.near_duplicates(frame(spark, rows)).collect())) == Counter((i, i, 0, 0) for i, _ in rows)
+
+
 def test_bands_reach_their_recall():
     assert 1 - (1 - 0.8 ** 5) ** similarity.bands_for(0.8, 0.9999, 5) >= 0.9999
 
