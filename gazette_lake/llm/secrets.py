@@ -5,14 +5,16 @@ lengths of the parts between and of the hits add up to code-point positions.  Te
 cannot match are passed by after a plain search.
 
 Beyond the patterns, every long run of token characters, or what the patterns' spans leave of it, is
+found in a copy of the text in which those spans are hidden, character by character, so that places stay and
+one search finds all runs, however many there are; it is
 scored: the largest mean, over the neighbouring characters of a stretch of ``LEAST_RANDOM`` or
 more, of log P(next | random) - log P(next | ordinary), held against ``THRESHOLD``.  A run with
 such a stretch is a span as a whole, so that no end of a secret is left.  Both models count
 character pairs in labelled strings: what the patterns found is random, words of letters,
 digits and underscores outside of it are ordinary identifiers.  Random strings come from all
 documents, as they may be rare; ordinary ones, of which every text has many, from a bounded sample
-(``SAMPLE`` documents, chosen by a hash).  The pairs are counted in a shuffle of at most a few
-thousand groups.
+(``SAMPLE`` documents, chosen by a hash).  Distinct strings are shuffled, then their pairs, of which there
+are a few thousand.
 """
 
 from dataclasses import dataclass
@@ -46,6 +48,12 @@ _MAY_ASSIGN = ASSIGN[:-2] + f"{{{ASSIGN_LENGTH}}})"
 TOKEN = rf"[A-Za-z0-9+/_=-]{{{LEAST_RANDOM},}}"
 IDENTIFIER = r"[A-Za-z0-9_]{8,}"
 
+# Hidden characters: each character of a hidden span as one of a private block, by which the patterns that
+# are searched for later still know what it was.
+_HIDDEN_FROM = 0xE000
+_HIDDEN, _OTHER = r"[\x{E000}-\x{E0FF}]", chr(0xE100)
+_FILLER = chr(0xE0FF)
+
 SPAN = "array<struct<start:bigint,rank:int,end:bigint,value:string>>"
 
 
@@ -81,9 +89,13 @@ def _places(text: Column, pattern: str, rank: int, group: int, may: Column) -> C
     return F.coalesce(found.cast(SPAN), F.array().cast(SPAN))
 
 
+def _may_assign(text: Column) -> Column:
+    return (text.contains("=") | text.contains(":")) & text.rlike(_MAY_ASSIGN)
+
+
 def base_spans(text: Column) -> dict[str, Column]:
     """Spans of the base patterns by kind."""
-    assign = _places(text, ASSIGN, 0, 2, (text.contains("=") | text.contains(":")) & text.rlike(_MAY_ASSIGN))
+    assign = _places(text, ASSIGN, 0, 2, _may_assign(text))
     return {
         "assign": F.filter(assign, lambda s: F.length(s.value) >= ASSIGN_LENGTH),
         "access": _places(text, ACCESS, 1, 0, text.contains("AKIA") & text.rlike(ACCESS)),
@@ -91,6 +103,50 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
+def _private(text: str) -> str:
+    return "".join(chr(_HIDDEN_FROM + ord(c)) for c in text)
+
+
+_DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_ANY_HIDDEN = f"{_private('+')}-{_private('z')}"
+
+
+def _replaced(text: Column, pattern: str, by, group: int = 0) -> Column:
+    """The text with each hit replaced by a text of the same length; ``by`` gets the hit and its group."""
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    new = F.transform(hits, lambda h: by(h, h)) if not group else F.zip_with(
+        hits, F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), by)
+    return F.array_join(F.zip_with(F.split(text, pattern, -1), F.concat(new, F.array(F.lit(""))), lambda gap, hit: F.concat(gap, hit)), "")
+
+
+def _known_or_hidden(pattern: str) -> str:
+    """ASSIGN for a text with hidden characters: each letter of a name in either case, plain or hidden."""
+    names, rest = pattern.removeprefix("(?i)")[1:].split(")", 1)
+    letters = "".join(f"[{c}{c.upper()}{_private(c + c.upper())}]" if c.isalpha() else c for c in names)
+    return f"({letters}){rest.replace('[A-Za-z0-9', f'[A-Za-z0-9{_ANY_HIDDEN}')}"
+
+
+def hidden(text: Column) -> Column:
+    """The text, as long as it was, with every character of the base spans hidden.
+
+    Each pattern finds what it finds in the text itself: hidden characters count as what they were.  Characters
+    of the private block that a text has of its own become others; no pattern has either.
+    """
+    plain = F.when(text.rlike(_HIDDEN), F.regexp_replace(text, _HIDDEN, _OTHER)).otherwise(text)
+    no_hex = F.when(text.rlike(HEX), _replaced(plain, HEX, lambda h, _: F.translate(h, _DIGITS + "abcdef", _private(_DIGITS + "abcdef")))).otherwise(plain)
+
+    def access(t: Column) -> Column:
+        pattern = ACCESS.replace("0-9", f"0-9{_private('0')}-{_private('9')}")
+        return F.when(text.contains("AKIA") & text.rlike(ACCESS), _replaced(
+            t, pattern, lambda h, _: F.translate(h, _DIGITS + _UPPER, _private(_DIGITS + _UPPER)))).otherwise(t)
+
+    def assign(t: Column) -> Column:
+        filled = lambda hit, value: F.when(F.length(value) >= ASSIGN_LENGTH, F.repeat(F.lit(_FILLER), F.length(hit))).otherwise(hit)
+        return F.when(_may_assign(text), _replaced(t, _known_or_hidden(ASSIGN), filled, 2)).otherwise(t)
+
+    return let(no_hex, lambda t: let(access(t), assign))
+
+
 def _pairs(strings: Column) -> Column:
     """Numbers of neighbouring characters of a string: first code times 128 plus second."""
     codes = F.transform(F.split(strings, ""), F.ascii)
@@ -141,8 +197,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Models:
     text = F.coalesce("text", F.lit(""))
     found = docs.select(chosen.alias("chosen"), text.alias("text")).withColumns(base_spans(F.col("text")))
     known = found.select("chosen", "text", F.transform(F.concat("assign", "access", "hex"), lambda s: s.value).alias("random"))
-    words = F.when(F.col("chosen"), F.filter(F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0)),
-                                             lambda w: ~F.exists("random", lambda r: F.contains(r, w))))
+    words = F.when(F.col("chosen"), F.regexp_extract_all(hidden(F.col("text")), F.lit(IDENTIFIER), F.lit(0)))
     labelled = known.select(F.explode(F.concat(
         F.transform("random", lambda r: F.struct(F.lit(True).alias("random"), r.alias("value"))),
         F.coalesce(F.transform(words, lambda w: F.struct(F.lit(False).alias("random"), w.alias("value"))), F.array())
@@ -171,28 +226,12 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Models:
     return Models(tuple(ratios))
 
 
-def _rest(run: Column) -> Column:
-    """What the base spans leave of a run, in parts of ``LEAST_RANDOM`` characters or more."""
-    inside = F.sort_array(F.filter(F.concat("assign", "access", "hex"), lambda b: (b.start < run.end) & (run.start < b.end)))
-    part = lambda start, end: F.struct(
-        start.alias("start"), run["rank"].alias("rank"), end.alias("end"),
-        F.substring(run.value, (start - run.start + 1).cast("int"), (end - start).cast("int")).alias("value"))
-    begin = F.struct(run.start.alias("at"), F.array().cast(SPAN).alias("parts"))
-
-    def step(state: Column, base: Column) -> Column:
-        more = F.when(base.start - state.at >= LEAST_RANDOM, F.concat(state.parts, F.array(part(state.at, base.start)))).otherwise(state.parts)
-        return F.struct(F.greatest(state.at, base.end).alias("at"), more.alias("parts"))
-
-    last = lambda state: F.when(run.end - state.at >= LEAST_RANDOM, F.concat(state.parts, F.array(part(state.at, run.end)))).otherwise(state.parts)
-    return let(inside, lambda spans: F.when(F.size(spans) == 0, F.array(run).cast(SPAN)).otherwise(F.aggregate(spans, begin, step, last)))
-
-
 def with_spans(rows: DataFrame, models: Models, text: str) -> DataFrame:
     """Adds assign, access, hex, markov: arrays of spans.  ``text`` is a string column without nulls."""
     based = rows.withColumns(base_spans(F.col(text)))
-    runs = _places(F.col(text), TOKEN, 3, 0, F.col(text).rlike(TOKEN))
-    markov = F.filter(F.flatten(F.transform(runs, _rest)), lambda s: models.random(s.value))
-    return based.withColumn("markov", markov)
+    runs = let(hidden(F.col(text)), lambda t: _places(t, TOKEN, 3, 0, t.rlike(TOKEN)))
+    markov = F.when(F.col(text).rlike(TOKEN), F.filter(runs, lambda s: models.random(s.value)))
+    return based.withColumn("markov", F.coalesce(markov, F.array().cast(SPAN)))
 
 
 def _listed(spans: Column) -> Column:
@@ -217,29 +256,38 @@ def scan(docs: DataFrame, sample: int = SAMPLE, id: str = "doc_id", text: str =
         _listed(F.concat(*KINDS)).alias("spans"))
 
 
-def masked(text: Column, spans: Column) -> Column:
-    """The text with every span, overlapping ones as one, replaced by a mask."""
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("parts"))
+def all_hidden(text: Column, models: Models) -> Column:
+    """The text, as long as it was, with every secret's characters hidden."""
+    found = lambda run, _: F.when(models.random(run), F.repeat(F.lit(_FILLER), F.length(run))).otherwise(run)
+    return let(hidden(text), lambda t: F.when(t.rlike(TOKEN), _replaced(t, TOKEN, found)).otherwise(t))
+
 
-    def step(state: Column, span: Column) -> Column:
-        gap = text.substr((state.at + 1).cast("int"), F.greatest(span.start - state.at, F.lit(0)).cast("int"))
-        more = F.when(span.start >= state.at, F.concat(state.parts, F.array(gap, F.lit(MASK)))).otherwise(state.parts)
-        return F.struct(F.greatest(state.at, span.end).alias("at"), more.alias("parts"))
+def masked(text: Column, covered: Column) -> Column:
+    """The text with a mask for every stretch that is hidden in ``covered``; null where nothing is.
 
-    rest = lambda state: F.concat(F.array_join(state.parts, ""), text.substr((state.at + 1).cast("int"), F.length(text)))
-    return F.aggregate(F.sort_array(spans), start, step, rest)
+    Where a text has characters of the private block itself, its own parts are put together around the
+    masks, since the copy lacks those.
+    """
+    stretch = f"{_HIDDEN}+"
+    sizes = lambda: F.transform(F.regexp_extract_all(covered, F.lit(stretch), F.lit(0)), lambda h: F.length(h))
+    gaps = F.transform(F.split(covered, stretch, -1), lambda g: F.length(g))
+    begin = F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("parts"))
+    own = F.aggregate(
+        F.arrays_zip(gaps.alias("gap"), F.concat(sizes(), F.array(F.lit(0))).alias("size")), begin,
+        lambda state, part: F.struct((state.at + part["gap"] + part["size"]).alias("at"), F.concat(
+            state.parts, F.array(text.substr(state.at, part["gap"]))).alias("parts")), lambda state: F.array_join(state.parts, MASK))
+    return F.when(covered.rlike(_HIDDEN), F.when(text.rlike(_HIDDEN), own).otherwise(F.regexp_replace(covered, stretch, MASK)))
 
 
 def without_secrets(docs: DataFrame, sample: int = SAMPLE, id: str = "doc_id", text: str = "text",
                     n_chars: str | None = None) -> DataFrame:
     """The documents, all kept, with secrets masked in their texts, and ``n_chars`` brought in line.
 
-    Texts without secrets, null ones too, stay as they are.
+    Spans that overlap or touch get one mask.  Texts without secrets, null ones too, stay as they are.
     """
     models = train(docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), sample)
     packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"), F.coalesce(docs[text].cast("string"), F.lit("")).alias("_text"))
-    found = with_spans(packed, models, "_text").withColumn("_spans", F.concat(*KINDS))
-    clean = found.withColumn("_clean", F.when(F.size("_spans") > 0, masked(F.col("_text"), F.col("_spans"))))
+    clean = packed.withColumn("_clean", let(all_hidden(F.col("_text"), models), lambda t: masked(F.col("_text"), t)))
     changed = F.col("_clean").isNotNull()
     return clean.select(*[
         F.when(changed, F.col("_clean")).otherwise(F.col(f"_doc.{c}")).alias(c) if c == text
