@@ -3,7 +3,8 @@
 A text is a sequence of words (runs of letters, in lower case for ASCII), each with a mark in front.  A
 language gives every piece of the vocabulary, and every single byte, a probability; a word's
 probability is the sum, over all ways to cut it into pieces, of the products of theirs (forward
-algorithm on bytes).  Pieces do not cross words, so a text's probability is the product over its
+algorithm on bytes).  Short words are summed by length, long ones, such as whole lines of a script without
+spaces, side by side, byte after byte, over the pieces that occur in them.  Pieces do not cross words, so a text's probability is the product over its
 words, and each distinct word of a slice is worked out once.
 
 Piece probabilities are learned by expectation maximisation from all training texts.  Each pass
@@ -22,8 +23,10 @@ from pyspark.sql import functions as F
 from gazette_lake.llm import arrays, common
 
 PASSES = 2
-LINEAR_BYTES = 32  # longer words are summed as logarithms, against underflow
-STRETCH_BYTES, OVERLAP_BYTES = 128, 64  # longer words are learned from in stretches, seen with so much before and after
+LINEAR_BYTES = 32  # longer words, as in scripts without spaces, are walked together, byte by byte, and scaled against underflow
+WALKED = 1 << 20  # bytes of longer words times languages that are walked together, one word at least
+STRETCH_BYTES, OVERLAP_BYTES = 1 << 16, 256  # still longer words are learned from in stretches, seen with so much before and after
+RESCALED, EVERY = 1e-150, 8  # sums below are scaled up, looked at after so many bytes
 HELD_BYTES = 1 << 24  # of distinct words that a learning task holds, likewise
 SMOOTHING = 0.1
 FIXED_POINT = 1 << 20
@@ -52,6 +55,10 @@ class Pieces:
         strings = {s for s in strings if s and _LETTER[list(s.removeprefix(b" "))].all()} | {bytes([b]) for b in range(256)}
         self.strings = sorted(strings)
         self.longest = max(map(len, self.strings))
+        self.reach = np.ones(1 << 16, np.int64)  # of the longest piece that begins with two bytes
+        for s in self.strings:
+            if len(s) > 1:
+                self.reach[s[0] << 8 | s[1]] = max(self.reach[s[0] << 8 | s[1]], len(s))
         flat = np.frombuffer(b"".join(self.strings), np.uint8)
         ends = np.cumsum([len(s) for s in self.strings])
         self.keys = np.append(arrays.RangeHash(flat)(np.append(0, ends[:-1]), ends), np.uint64(0))
@@ -80,6 +87,53 @@ class Pieces:
         return found
 
 
+@dataclass
+class Uses:
+    """Pieces in words that are walked together: word, start, end, number of the piece."""
+
+    word: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    piece: np.ndarray
+
+    def turned(self, lengths: np.ndarray) -> "Uses":
+        """The same in words read backwards."""
+        n = lengths[self.word]
+        return Uses(self.word, n - self.end, n - self.start, self.piece)
+
+    def sums(self, probabilities: np.ndarray, lengths: np.ndarray, begin: np.ndarray | None = None) -> np.ndarray:
+        """Logarithms of the sums over all segmentations up to each place: place, word, language.
+
+        ``begin`` has the sums of the first places, where a word goes on from what was walked before.
+        """
+        n, words, languages = int(lengths.max()), len(lengths), probabilities.shape[1]
+        order = np.lexsort([self.word, self.end])
+        word, start, piece, end = self.word[order], self.start[order], self.piece[order], self.end[order]
+        limits = np.searchsorted(end, np.arange(n + 2))
+        sums, scale = np.zeros((n + 1, words, languages)), np.zeros((n + 1, words, languages), np.int32)
+        sums[0] = 1
+        if begin is not None:
+            sums[:len(begin)] = begin
+        back = int((end - start).max(initial=1))
+        for place in range(1 if begin is None else len(begin), n + 1):
+            some = slice(limits[place], limits[place + 1])
+            of = word[some]
+            if not len(of):
+                continue
+            parts = sums[start[some], of] * probabilities[piece[some]]
+            first = np.flatnonzero(np.diff(of, prepend=-1))
+            sums[place, of[first]] = np.add.reduceat(parts, first)
+            scale[place, of[first]] = scale[place - 1, of[first]]
+            if place % EVERY == 0:
+                small = (sums[place] < RESCALED) & (sums[place] > 0)
+                if small.any():
+                    low = max(0, place - back)
+                    sums[low:place + 1, small] /= RESCALED
+                    scale[low:place + 1, small] += 1
+        with np.errstate(divide="ignore"):
+            return np.log(sums) + scale * np.log(RESCALED)
+
+
 @dataclass
 class Words:
     """Distinct words by hash, each with a mark in front."""
@@ -122,9 +176,8 @@ class Words:
         value = arrays.RangeHash(self.flat)
         order = of[np.argsort(self.lengths[of], kind="stable")]
         for own in np.split(order, np.flatnonzero(np.diff(self.lengths[order])) + 1):
-            most = (1 << 14) if self.lengths[own[:1]].max(initial=0) <= LINEAR_BYTES else (1 << 10)
-            for low in range(0, len(own), most):
-                part, found = own[low:low + most], {}
+            for low in range(0, len(own), 1 << 14):
+                part, found = own[low:low + (1 << 14)], {}
                 n, start = int(self.lengths[part[0]]), self.starts[part]
                 for a in range(n):
                     for b in range(a + 1, min(n, a + pieces.longest) + 1):
@@ -133,6 +186,29 @@ class Words:
                             found[a, b] = piece
                 yield part, n, found
 
+    def walks(self, pieces: Pieces, of: np.ndarray, languages: int) -> Iterator[tuple[np.ndarray, Uses]]:
+        """Words numbered ``of`` of nearly one length, and the uses of pieces in them."""
+        value = arrays.RangeHash(self.flat)
+        second = np.append(self.flat[1:], np.uint8(0))
+        reach = pieces.reach[self.flat.astype(np.int64) << 8 | second] if len(self.flat) else np.zeros(0, np.int64)
+        order = of[np.argsort(self.lengths[of], kind="stable")]
+        while len(order):
+            n = int(self.lengths[order[0]])
+            alike = int(np.searchsorted(self.lengths[order], n + n // 4, "right"))
+            own = order[:max(1, min(alike, WALKED // max(1, languages) // (n + n // 4)))]
+            order = order[len(own):]
+            size = self.lengths[own]
+            word = np.repeat(np.arange(len(own)), size)
+            start = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            flat = np.repeat(self.starts[own], size) + start
+            most = np.minimum(reach[flat], size[word] - start)
+            found = []
+            for length in range(1, int(most.max(initial=0)) + 1):
+                at = np.flatnonzero(most >= length)
+                piece = pieces.find(value(flat[at], flat[at] + length))
+                at, piece = at[piece >= 0], piece[piece >= 0]
+                found.append((word[at], start[at], start[at] + length, piece))
+            yield own, Uses(*(np.concatenate(column) for column in zip(*found)))
 
     def stretches(self) -> tuple["Words", np.ndarray, np.ndarray, np.ndarray]:
         """All words in parts of ``STRETCH_BYTES`` at most, cut between characters, each with up to ``OVERLAP_BYTES`` around.
@@ -182,23 +258,35 @@ class Model:
             sums[a if backward else b] += sums[b if backward else a] * self.probabilities[piece]
         return sums
 
-    def _log_sums(self, n: int, found: dict, size: int, backward: bool = False) -> np.ndarray:
-        with np.errstate(divide="ignore"):
-            logs = np.log(self.probabilities)
-        sums = np.full((n + 1, size, self.probabilities.shape[1]), -np.inf)
-        sums[n if backward else 0] = 0
-        for (a, b), piece in sorted(found.items(), key=lambda x: -x[0][0] if backward else x[0][1]):
-            into, off = (a, b) if backward else (b, a)
-            sums[into] = np.logaddexp(sums[into], sums[off] + logs[piece])
-        return sums
-
     def word_scores(self, words: Words, pieces: Pieces, of: np.ndarray) -> np.ndarray:
         """log P(word) by word, of those numbered, and language."""
         out = np.zeros((len(words.keys), self.probabilities.shape[1]))
-        for own, n, found in words.groups(pieces, of):
-            out[own] = np.log(self._sums(n, found, len(own))[n]) if n <= LINEAR_BYTES else self._log_sums(n, found, len(own))[n]
+        short, giant = words.lengths[of] <= LINEAR_BYTES, words.lengths[of] > STRETCH_BYTES
+        for own, n, found in words.groups(pieces, of[short]):
+            out[own] = np.log(self._sums(n, found, len(own))[n])
+        for one in of[giant].tolist():
+            out[one] = self._giant_score(words, pieces, one)
+        for own, uses in words.walks(pieces, of[~short & ~giant], out.shape[1]):
+            n = words.lengths[own]
+            out[own] = uses.sums(self.probabilities, n)[n, np.arange(len(own))]
         return out[of]
 
+    def _giant_score(self, words: Words, pieces: Pieces, one: int) -> np.ndarray:
+        """log P of one very long word, walked in parts; what is carried on are the sums of the last places."""
+        n, total = int(words.lengths[one]), np.zeros(self.probabilities.shape[1])
+        tail = np.zeros((1, len(total)))
+        for low in range(0, n, STRETCH_BYTES):
+            high, known = min(n, low + STRETCH_BYTES), len(tail)
+            first = low - known + 1
+            part = Words(words.keys[:1], words.flat, words.starts[[one]] + first, np.array([high - first]))
+            [(_, uses)] = part.walks(pieces, np.zeros(1, np.int64), len(total))
+            new = uses.end >= known
+            uses = Uses(uses.word[new], uses.start[new], uses.end[new], uses.piece[new])
+            sums = uses.sums(self.probabilities, part.lengths, np.exp(tail)[:, None, :])[:, 0]
+            tail = sums[-pieces.longest:]
+            total, tail = total + tail.max(0), tail - tail.max(0)
+        return total + tail[-1]
+
     def cached_scores(self, words: Words, pieces: Pieces) -> np.ndarray:
         """log P(word) by word and language; a worker works out a word it does not hold."""
         if not hasattr(self, "cache"):
@@ -224,14 +312,14 @@ class Model:
             parts, word, own_from, own_to = words.only(long).stretches()
             with np.errstate(divide="ignore"):
                 logs = np.log(self.probabilities)
-            for own, n, found in parts.groups(pieces, np.arange(len(word))):
-                forward, backward = self._log_sums(n, found, len(own)), self._log_sums(n, found, len(own), backward=True)
-                weight = counts[long[word[own]]]
-                for (a, b), piece in found.items():
-                    here = np.flatnonzero((piece >= 0) & (own_from[own] <= a) & (a < own_to[own]))
-                    used = np.exp(forward[a, here] + logs[piece[here]] + backward[b, here] - forward[n, here]) * weight[here]
-                    for language in range(counts.shape[1]):
-                        np.add.at(total[:, language], piece[here], used[:, language])
+            for own, uses in parts.walks(pieces, np.arange(len(word)), counts.shape[1]):
+                n, weight = parts.lengths[own], counts[long[word[own]]]
+                forward, backward = uses.sums(self.probabilities, n), uses.turned(n).sums(self.probabilities, n)
+                here = (own_from[own][uses.word] <= uses.start) & (uses.start < own_to[own][uses.word])
+                at, start, end, piece = uses.word[here], uses.start[here], uses.end[here], uses.piece[here]
+                used = np.exp(forward[start, at] + logs[piece] + backward[n[at] - end, at] - forward[n[at], at]) * weight[at]
+                for language in range(counts.shape[1]):
+                    total[:, language] += np.bincount(piece, used[:, language], len(total))
         for own, n, found in words.groups(pieces, np.flatnonzero(words.lengths <= LINEAR_BYTES)):
             forward, backward = self._sums(n, found, len(own)), self._sums(n, found, len(own), backward=True)
             weight = counts[own] / forward[n]

@@ -8,8 +8,9 @@ if it passes the fixed rules and its score reaches a threshold; nothing is drawn
 threshold is placed between labelled good documents that were not counted (a quarter of them) and
 those labelled bad, none of which is counted as trusted, where the two shares of errors add up to least.
 
-Counting needs one exchange of at most ``BUCKETS`` rows per task, summed by bucket.  Texts are
-never shuffled: the labels go to them, as sorted ids, in blocks of bounded size.
+All texts are read three times, however many labels there are: to pick the labelled ones, which a bitmap of
+the ids does before they are joined and written, to count, and to judge.  Counting needs one exchange of at
+most ``BUCKETS`` rows per task, and a task counts ``PARTS`` input partitions before it hands them on.
 """
 
 from collections.abc import Iterator
@@ -21,10 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gazette_lake.llm import arrays, common
+from gazette_lake.operators.bitfilter import with_maybe
+from gazette_lake.session import stage
 
 BUCKET_BITS = 22
 BUCKETS = 1 << BUCKET_BITS
-LABELS = 4_000_000  # labels sent at a time, 9 bytes each; more of them take another pass over the texts
+PARTS = 32  # input partitions that a counting task takes, unless there are fewer than cores: some 4 GB
 SMOOTHING = 1.0  # trusted n-grams added to what a bucket has and to what it would have if trusted texts were like all
 CALIBRATION_FOLDS = 4  # one of them is not counted but sets the threshold
 LOST = 0.005  # share of trusted documents below the threshold where none is labelled bad
@@ -109,52 +112,46 @@ class Text:
 BAD, HELD, COUNTED = 0, 1, 2  # labelled bad; good, and sets the threshold; good, and is counted
 
 
-def label_blocks(kinds: DataFrame) -> Iterator[Broadcast]:
-    """Sorted ids and their kinds (doc_id, kind), one row per id, in blocks that each task can hold; one at least."""
-    spark, n = kinds.sparkSession, max(1, -(-kinds.count() // LABELS))
-    for k in range(n):
-        table = kinds.filter(F.pmod(F.xxhash64("doc_id"), F.lit(n)) == k).toArrow()
-        ids, own = table.column("doc_id").to_numpy(), table.column("kind").to_numpy()
-        order = np.argsort(ids)
-        yield spark.sparkContext.broadcast((ids[order], own[order].astype(np.int8)))
+def kinds_of(labels: DataFrame) -> DataFrame:
+    """(doc_id, kind), one row per labelled id.  An id with a label 0 is bad, whatever else it has."""
+    judged = labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
+        F.min("quality").alias("quality"))
+    held = F.pmod(F.xxhash64(F.lit("threshold"), "doc_id"), F.lit(CALIBRATION_FOLDS)) == 0
+    return judged.filter("quality in (0, 1)").select(
+        "doc_id", F.when(F.col("quality") == 0, BAD).when(held, HELD).otherwise(COUNTED).alias("kind"))
 
 
-def _kinds(labels: tuple[np.ndarray, np.ndarray], ids: pa.Array) -> np.ndarray:
-    """Kind of each id, -1 where it has no label."""
-    known, kinds = labels
-    wanted = ids.fill_null(0).to_numpy(zero_copy_only=False)
-    if not len(known):
-        return np.full(len(wanted), -1, np.int8)
-    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
-    return np.where((known[at] == wanted) & ids.is_valid().to_numpy(zero_copy_only=False), kinds[at], -1)
+def labelled_texts(docs: DataFrame, kinds: DataFrame) -> DataFrame:
+    """(doc_id, text, kind) of labelled documents, written; texts without a label are not shuffled."""
+    known = stage(kinds, "kinds")
+    maybe = with_maybe(docs.select("doc_id", "text"), known, ["doc_id"], "_maybe").filter("_maybe").drop("_maybe")
+    return stage(maybe.join(known, "doc_id"), "labelled")
 
 
-def bucket_counts(docs: DataFrame, labels: Broadcast, whole: bool = True) -> DataFrame:
-    """n-grams of all documents and of counted ones by bucket; unless ``whole``, only of the counted ones."""
+def bucket_counts(texts: DataFrame) -> np.ndarray:
+    """n-grams of all texts by bucket."""
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        total = np.zeros(BUCKETS, np.int64)
         for part in arrays.slices(batches):
-            good = _kinds(labels.value, part.column(0)) == COUNTED
-            if not whole:
-                part, good = part.filter(pa.array(good)), good[good]
-            rows, buckets = Text(*arrays.text_bytes(part.column(1))).buckets()
-            if whole:
-                np.add.at(raw, buckets, 1)
-            np.add.at(target, buckets[good[rows]], 1)
-        used = np.flatnonzero(raw | target)
+            np.add.at(total, Text(*arrays.text_bytes(part.column(0))).buckets()[1], 1)
+        used = np.flatnonzero(total)
         for low in range(0, len(used), ROWS):
             at = used[low:low + ROWS]
-            yield pa.record_batch({"bucket": pa.array(at.astype(np.int32)), "raw": pa.array(raw[at]), "target": pa.array(target[at])})
+            yield pa.record_batch({"bucket": pa.array(at.astype(np.int32)), "n": pa.array(total[at])})
 
-    counted = docs.select("doc_id", "text").mapInArrow(count, "bucket int, raw long, target long")
-    return counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    narrow, cores = texts.select("text"), texts.sparkSession.sparkContext.defaultParallelism
+    tasks = max(cores, -(-narrow.rdd.getNumPartitions() // PARTS))
+    counted = narrow.coalesce(tasks).mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    table, counts = counted.toArrow(), np.zeros(BUCKETS, np.int64)  # BUCKETS rows at most
+    counts[table.column("bucket").to_numpy()] = table.column("n").to_numpy()
+    return counts
 
 
 def log_ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
     """log(p_trusted / p_raw) by bucket; 0 where nothing is trusted, or nothing was seen.
 
-    Buckets seen in few trusted texts, or expected in few, are drawn to 0.  How many buckets there
-    are does not matter.
+    Buckets seen in few trusted texts, or expected in few, are drawn to 0.
     """
     if not target.sum():
         return np.zeros(len(raw), np.float32)
@@ -162,28 +159,23 @@ def log_ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
     return np.log((target + SMOOTHING) / (expected + SMOOTHING)).astype(np.float32)
 
 
-def threshold_for(docs: DataFrame, blocks: list[Broadcast], ratios: Broadcast) -> float:
+def threshold_for(labelled: DataFrame, ratios: Broadcast) -> float:
     """The middle of where fewest labelled documents are misjudged; without any good ones, no bound.
 
     Shares of good documents lost and of bad ones kept count alike.  Without bad ones, ``LOST`` of the
     good ones are below it.  Documents that fail the rules do not matter.
     """
-    counts: dict[tuple[int, bool], int] = {}
-    for labels in blocks:
-        def steps(batches: Iterator[pa.RecordBatch], labels=labels) -> Iterator[pa.RecordBatch]:
-            for part in arrays.slices(batches):
-                kinds = _kinds(labels.value, part.column(0))
-                used = (kinds == BAD) | (kinds == HELD)
-                scored = next(_judge(ratios, 0.0)(iter([part.filter(pa.array(used))])), None)
-                if scored is not None:
-                    passes = ~scored.column("base_failed").to_numpy(zero_copy_only=False)
-                    step = np.floor(scored.column("score").to_numpy() / STEP).astype(np.int64)
-                    yield pa.record_batch({"step": pa.array(step[passes]), "good": pa.array((kinds[used] == HELD)[passes])})
-
-        found = docs.select("doc_id", "text").mapInArrow(steps, "step long, good boolean").groupBy("step", "good").count()
-        for step, good, n in found.collect():  # some 10,000 steps at most: scores are logarithms
-            counts[step, good] = counts.get((step, good), 0) + n
-    return _threshold(counts)
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in arrays.slices(batches):
+            for scored in _judge(ratios, 0.0)(iter([part])):
+                passes = ~scored.column("base_failed").to_numpy(zero_copy_only=False)
+                step = np.floor(scored.column("score").to_numpy() / STEP).astype(np.int64)
+                good = part.column(2).to_numpy() == HELD
+                yield pa.record_batch({"step": pa.array(step[passes]), "good": pa.array(good[passes])})
+
+    used = labelled.filter(F.col("kind").isin(BAD, HELD)).select("doc_id", "text", "kind")
+    found = used.mapInArrow(steps, "step long, good boolean").groupBy("step", "good").count()
+    return _threshold({(step, good): n for step, good, n in found.collect()})  # some 10,000 steps at most: scores are logarithms
 
 
 def _threshold(counts: dict[tuple[int, bool], int]) -> float:
@@ -233,19 +225,22 @@ def assess(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "
     words and fails the rules.  A null id stays null, repeated rows stay, an empty table gives no
     rows.  Columns besides those named are ignored.
     """
-    source, spark = common.id_and_text(docs, id, text), docs.sparkSession
-    judged = labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
-        F.min("quality").alias("quality"))
-    held = F.pmod(F.xxhash64(F.lit("threshold"), "doc_id"), F.lit(CALIBRATION_FOLDS)) == 0
-    kinds = judged.filter("quality in (0, 1)").select(
-        "doc_id", F.when(F.col("quality") == 0, BAD).when(held, HELD).otherwise(COUNTED).alias("kind"))
-    blocks = list(label_blocks(kinds))
-    raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-    for k, block in enumerate(blocks):
-        table = bucket_counts(source, block, whole=k == 0).toArrow()  # BUCKETS rows at most
-        at = table.column("bucket").to_numpy()
-        raw[at] += table.column("raw").to_numpy()
-        target[at] += table.column("target").to_numpy()
-    ratios = spark.sparkContext.broadcast(log_ratios(raw, target))
-    threshold = threshold_for(source, blocks, ratios) if target.any() else -np.inf
+    source = common.id_and_text(docs, id, text)
+    labelled = labelled_texts(source, kinds_of(labels))
+    target = bucket_counts(labelled.filter(F.col("kind") == COUNTED))
+    ratios = docs.sparkSession.sparkContext.broadcast(log_ratios(bucket_counts(source), target))
+    threshold = threshold_for(labelled, ratios) if target.any() else -np.inf
     return source.mapInArrow(_judge(ratios, threshold), SCHEMA)
+
+
+def evaluate(docs: DataFrame, labels: DataFrame, folds: int = 4, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(quality, n, n_passing, n_kept) of labelled documents of one fold, whose labels nothing was learned from.
+
+    ``n_passing`` passed the rules; of those, ``n_kept`` were kept.
+    """
+    fold = F.pmod(F.xxhash64(F.lit("tried"), F.col("doc_id").cast("long")), F.lit(folds)) == 0
+    tried = kinds_of(labels.filter(fold)).select("doc_id", (F.col("kind") != BAD).cast("int").alias("quality"))
+    judged = assess(docs, labels.filter(~fold), id, text).select("doc_id", "base_failed", "kept")
+    some = with_maybe(judged, tried, ["doc_id"], "_maybe").filter("_maybe").drop("_maybe")
+    return some.join(tried, "doc_id").groupBy("quality").agg(
+        F.count("*").alias("n"), F.count(F.when(~F.col("base_failed"), 1)).alias("n_passing"), F.count(F.when(F.col("kept"), 1)).alias("n_kept"))

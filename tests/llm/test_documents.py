@@ -316,16 +316,68 @@ def test_languages(spark, odd, none):
     assert language.identify(none, tokenizer_file("piece_bpe_32k.model")).count() == 0
 
 
+def long_word():
+    return "".join(random.Random(4).choices("日本語文字列処理統計中国人民政府ไทยภาษา", k=300)) + "internationalisation" * 3
+
+
+def random_model(pieces, languages):
+    p = np.random.default_rng(1).dirichlet(np.ones(len(pieces)), languages).T
+    return language.Model([f"l{i}" for i in range(languages)], np.zeros(languages), np.vstack([p, np.zeros(languages)]))
+
+
 def test_long_words_are_learned_from(pieces, monkeypatch):
-    text = "".join(random.Random(4).choices("日本語文字列処理統計中国人民政府", k=150)) + "internationalisation" * 3
-    words, _, _ = language.Words.of(*arrays.text_bytes(pa.array([text])))
-    flat = np.append(np.random.default_rng(1).dirichlet(np.ones(len(pieces))), 0)[:, None]
-    model = language.Model(["a"], np.zeros(1), flat)
-    got = model.expected(words, pieces, np.full((1, 1), 3.0))
-    lengths = np.array([len(s) for s in pieces.strings])
-    assert (got[:, 0] * lengths).sum() == pytest.approx(3 * words.lengths[0], rel=0.02)
-    monkeypatch.setattr(language, "STRETCH_BYTES", 10_000, raising=False)
-    assert np.abs(got - model.expected(words, pieces, np.full((1, 1), 3.0))).max() < 0.01
+    words, _, _ = language.Words.of(*arrays.text_bytes(pa.array([long_word()])))
+    model, lengths = random_model(pieces, 2), np.array([len(s) for s in pieces.strings])
+    whole = model.expected(words, pieces, np.full((1, 2), 3.0))
+    assert (whole * lengths[:, None]).sum(0) == pytest.approx(3 * words.lengths[0])  # every byte is in one piece
+    monkeypatch.setattr(language, "STRETCH_BYTES", 300)
+    assert np.abs(whole - model.expected(words, pieces, np.full((1, 2), 3.0))).max() < 1e-3
+
+
+def test_long_and_short_words_are_summed_alike(pieces, monkeypatch):
+    texts = [long_word(), "of internationalisation and kalomitukalo été " * 3, "ไทยภาษา 日本語", "b" * 33 + " " + "c" * 40]
+    words, _, _ = language.Words.of(*arrays.text_bytes(pa.array(texts)))
+    model, every = random_model(pieces, 3), np.arange(len(words.keys))
+    counts = np.random.default_rng(2).random((len(every), 3))
+    scores, uses = model.word_scores(words, pieces, every), model.expected(words, pieces, counts)
+    monkeypatch.setattr(language, "LINEAR_BYTES", 1)
+    assert np.allclose(model.word_scores(words, pieces, every), scores, rtol=1e-9) and np.allclose(model.expected(words, pieces, counts), uses)
+    monkeypatch.setattr(language, "WALKED", 200)
+    assert np.allclose(model.word_scores(words, pieces, every), scores, rtol=1e-9)
+    monkeypatch.setattr(language, "STRETCH_BYTES", 50)
+    assert np.allclose(model.word_scores(words, pieces, every), scores, rtol=1e-9)  # parts carry the sums on
+
+
+def test_scripts_without_spaces_take_linear_time(pieces):
+    import time
+
+    rng = random.Random(5)
+    for script in ("日本語文字列処理統計中国人民政府的一是不了在有", "กขคงจฉชซญดตถทธนบปผพฟภมยรลวสหอ"):
+        text = "\n".join("".join(rng.choices(script, k=rng.randint(40, 160))) for _ in range(1000))
+        words, _, _ = language.Words.of(*arrays.text_bytes(pa.array([text])))
+        model, start = random_model(pieces, 4), time.time()
+        model.expected(words, pieces, np.ones((len(words.keys), 4)))
+        assert np.isfinite(model.word_scores(words, pieces, np.arange(len(words.keys)))).all() and time.time() - start < 15
+
+
+def test_predictions_beside_a_plain_version(pieces):
+    """Words scored one by one over all segmentations, then summed with the prior."""
+    model, number = random_model(pieces, 3), {s: i for i, s in enumerate(pieces.strings)}
+    texts = ["Hello world, été!", long_word()[:60], "", "The the THE", "12 3"]
+    best, score = model.predict(*arrays.text_bytes(pa.array(texts)), pieces)
+    for row, text in enumerate(texts):
+        total = model.priors.copy()
+        for word in re.findall(r"[A-Za-z\x80-\U0010ffff]+", text):
+            raw = b" " + "".join(c.lower() if c.isascii() else c for c in word).encode()
+            sums = np.zeros((len(raw) + 1, 3))
+            sums[0] = 1
+            for b in range(1, len(raw) + 1):
+                for a in range(max(0, b - 25), b):
+                    if raw[a:b] in number:
+                        sums[b] += sums[a] * model.probabilities[number[raw[a:b]]]
+            total += np.log(sums[-1])
+        share = np.exp(total - total.max())
+        assert best[row] == total.argmax() and score[row] == pytest.approx((share / share.sum()).max())
 
 
 # --- secrets
@@ -501,10 +553,33 @@ def test_threshold_between_good_and_bad():
 def test_all_trusted_documents_are_counted(spark, monkeypatch):
     seen, docs = [], spark.range(30_000).selectExpr("id doc_id", "concat('w', id) text")
     monkeypatch.setattr(quality, "log_ratios", lambda raw, target: seen.append((raw.sum(), target.sum())) or np.zeros(quality.BUCKETS, np.float32))
-    quality.assess(docs, docs.selectExpr("doc_id", "1 quality"))
-    monkeypatch.setattr(quality, "LABELS", 7000, raising=False)
-    quality.assess(docs, docs.selectExpr("doc_id", "1 quality"))
-    assert seen[0] == seen[1] and seen[0][0] == 30_000 and abs(seen[0][1] - 22_500) < 500
+    quality.assess(docs, docs.selectExpr("doc_id", "1 quality").union(docs.selectExpr("doc_id", "1 quality")))
+    assert seen[0][0] == 30_000 and abs(seen[0][1] - 22_500) < 500
+
+
+def test_scores_beside_a_plain_version(spark):
+    """N-grams counted as they are, not by bucket; so few share none."""
+    rng = random.Random(14)
+    rows = [(i, prose(rng.randint(40, 120), i) if i % 3 else " ".join(f"{w}x{rng.randrange(3)}" for w in prose(80, i).split())) for i in range(240)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(0, 240, 2)] + [(4, 0), (9999, 1)], "doc_id long, quality int")
+    kinds = {r.doc_id: r.kind for r in quality.kinds_of(labels).collect()}
+    assert kinds[4] == quality.BAD and set(kinds.values()) == {quality.BAD, quality.HELD, quality.COUNTED}
+
+    def grams(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        return words + list(itertools.pairwise(words))
+
+    raw, target = Counter(g for _, t in rows for g in grams(t)), Counter(g for i, t in rows if kinds.get(i) == quality.COUNTED for g in grams(t))
+    share = sum(target.values()) / sum(raw.values())
+    score = {i: np.mean([np.log((target[g] + 1) / (raw[g] * share + 1)) for g in grams(t)]) for i, t in rows}
+    got = {r.doc_id: r for r in quality.assess(frame(spark, rows), labels).collect()}
+    assert all(abs(got[i].score - score[i]) < 1e-5 for i, _ in rows)
+    steps = Counter((int(np.floor(got[i].score / quality.STEP)), kinds[i] == quality.HELD) for i, _ in rows
+                    if kinds.get(i) in (quality.BAD, quality.HELD) and not got[i].base_failed)
+    least = quality._threshold(steps)
+    assert all(got[i].kept == (not got[i].base_failed and got[i].score >= least) for i, _ in rows)
+    tried = {r.quality: r for r in quality.evaluate(frame(spark, rows), labels).collect()}
+    assert tried[1].n_kept >= 0.9 * tried[1].n_passing > 0 and tried[0].n_kept <= 0.1 * tried[0].n_passing and tried[0].n_passing > 5
 
 
 def test_quality(spark, odd, none):
