@@ -8,8 +8,9 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 # Join skew is left to adaptive execution, also where splitting costs one more shuffle.
-# Small sides are broadcast by measured size (spark.sql.autoBroadcastJoinThreshold);
-# no code here forces a broadcast.
+# Small sides are broadcast by measured size (spark.sql.autoBroadcastJoinThreshold).  Code forces it only
+# where a size is bounded by construction or was counted: bitmaps of keys (8 MB), versions of few keys,
+# one row per month, the training-data operators' models and samples.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
