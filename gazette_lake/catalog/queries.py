@@ -515,6 +515,14 @@ def text_scan(spark, sf):
     return layout.with_scan_text(layout_data.layouts(spark, sf), "text").select("doc_id", "text")
 
 
+@query
+def text_scan_pages(spark, sf):
+    """``text_scan`` from one row per page."""
+    documents = layout_data.layouts(spark, sf)
+    texts = layout.scan_text_of_pages(layout.page_rows(documents, ["doc_id"]))
+    return documents.select("doc_id").join(texts, "doc_id", "left").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+
+
 @query
 def text_scan_plain(spark, sf):
     return layout.with_scan_text(layout_data.layouts(spark, sf), "text", sort=False, tabs=False).select("doc_id", "text")

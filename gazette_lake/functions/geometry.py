@@ -105,11 +105,7 @@ def join_lines(lines: Column) -> Column:
     """
 
     def piece(line: Column, before: Column) -> Column:
-        open_text = (
-            F.when(before["content"].isNull(), F.lit(True))
-            .when(before["content"] == "", ~before["same_line"])
-            .otherwise(before["content"].endswith("\n"))
-        )
+        open_text = before["content"].isNull() | ends_open(before)
         mark = (
             F.when(line["same_line"], F.lit("\t"))
             .when(open_text | line["content"].startswith("\n"), F.lit(""))
@@ -118,3 +114,36 @@ def join_lines(lines: Column) -> Column:
         return F.concat(mark, line["content"])
 
     return F.array_join(F.zip_with(lines, previous(lines), piece), "")
+
+
+def ends_open(line: Column) -> Column:
+    """Whether a text whose last line this is needs no newline before the next one.  A line without content does not count."""
+    return (
+        F.when(line["content"].isNull(), F.lit(True))
+        .when(line["content"] == "", ~line["same_line"])
+        .otherwise(line["content"].endswith("\n"))
+    )
+
+
+def line_part(lines: Column) -> Column:
+    """Part of a text out of array<struct(content, same_line)>: its text, whether it brings its own newline, whether it
+    ends open, and whether it has a line at all."""
+    first, last = F.get(lines, F.lit(0)), F.get(lines, F.size(lines) - 1)
+    return F.struct(
+        F.coalesce(join_lines(lines), F.lit("")).alias("text"),
+        F.coalesce(first["content"].startswith("\n"), F.lit(True)).alias("brings"),
+        F.coalesce(ends_open(last), F.lit(True)).alias("open"),
+        (F.size(lines) > 0).alias("some"))
+
+
+def join_parts(parts: Column) -> Column:
+    """Several parts as one.  Associative: parts may be joined in any groups, in their order."""
+
+    def join(kept: Column) -> Column:
+        marked = F.zip_with(kept, previous(kept), lambda part, before: F.concat(
+            F.when(F.coalesce(before["open"], F.lit(True)) | part["brings"], F.lit("")).otherwise(F.lit("\n")), part["text"]))
+        return F.struct(
+            F.array_join(marked, "").alias("text"), F.coalesce(F.get(kept, F.lit(0))["brings"], F.lit(True)).alias("brings"),
+            F.coalesce(F.get(kept, F.size(kept) - 1)["open"], F.lit(True)).alias("open"), (F.size(kept) > 0).alias("some"))
+
+    return let(F.filter(parts, lambda part: part["some"]), join)

@@ -31,10 +31,14 @@ def with_zipped_pages(documents: DataFrame, pages: str, geometry: str, part: str
 
 
 def with_page_boxes(documents: DataFrame, pages: str = "pages", geometry: str = "geometry",
-                    first=fixed.FIRST_PAGE_BODY, later=fixed.LATER_PAGE_BODY) -> DataFrame:
-    """Adds ``boxed``: per page its body, usual line height, scale and unscaled line boxes."""
+                    first=fixed.FIRST_PAGE_BODY, later=fixed.LATER_PAGE_BODY, page_from: str | None = None) -> DataFrame:
+    """Adds ``boxed``: per page its body, usual line height, scale and unscaled line boxes.
 
-    def page(pair: Column, idx: Column) -> Column:
+    ``page_from`` names the index of a row's first page, where a row holds part of a document.
+    """
+
+    def page(pair: Column, at: Column) -> Column:
+        idx = at + F.col(page_from) if page_from else at
         boxes = F.transform(pair["pieces"], g.bounding_box)
         return F.struct(
             idx.alias("page_idx"),
@@ -91,17 +95,49 @@ def with_same_line(documents: DataFrame) -> DataFrame:
     )))
 
 
-def with_scan_text(documents: DataFrame, name: str = "scan_text", sort: bool = True,
-                   tabs: bool = True, **boxes) -> DataFrame:
-    """Adds the text of scanned pages.  ``sort=False, tabs=False`` keeps the OCR's own order."""
+def _with_joined_lines(documents: DataFrame, sort: bool = True, tabs: bool = True, **boxes) -> DataFrame:
+    """Adds ``_out``: content and same_line of the kept lines."""
     lines = with_kept_lines(documents, sort=sort, **boxes)
 
     def line(k: Column) -> Column:
         same = g.share_height(k["before"], k["line"], k["line"]["line_height"]) if tabs else F.lit(False)
         return F.struct(k["line"]["content"].alias("content"), same.alias("same_line"))
 
-    return lines.withColumn("_out", F.transform("kept", line)).withColumn(
-        name, F.coalesce(g.join_lines(F.col("_out")), F.lit(""))).drop("_out", "kept")
+    return lines.withColumn("_out", F.transform("kept", line)).drop("kept")
+
+
+def with_scan_text(documents: DataFrame, name: str = "scan_text", sort: bool = True,
+                   tabs: bool = True, **boxes) -> DataFrame:
+    """Adds the text of scanned pages.  ``sort=False, tabs=False`` keeps the OCR's own order."""
+    lines = _with_joined_lines(documents, sort, tabs, **boxes)
+    return lines.withColumn(name, F.coalesce(g.join_lines(F.col("_out")), F.lit(""))).drop("_out")
+
+
+PAGES_PER_SEGMENT = 64
+
+
+def page_rows(documents: DataFrame, keep: list[str], pages: str = "pages", geometry: str = "geometry") -> DataFrame:
+    """One row per page: ``keep``, page_idx, page (OCR) and its place in the pdf, as far as both go."""
+    both = F.slice(F.arrays_zip(F.col(pages).alias("page"), F.col(geometry).alias("geometry")), F.lit(1), F.least(F.size(pages), F.size(geometry)))
+    return unnest(documents, keep, both, "_page", "page_idx").select(*keep, "page_idx", "_page.page", "_page.geometry")
+
+
+def scan_text_of_pages(pages: DataFrame, sort: bool = True, tabs: bool = True, **boxes) -> DataFrame:
+    """(doc_id, text) of scanned documents that come as rows of pages: doc_id, page_idx, page, geometry.
+
+    The text is the one that ``with_scan_text`` gives a document in one row, but no task needs a document's
+    layout.  A page is put together where it is, into a part that knows how it begins and ends
+    (``geometry.line_part``); what is exchanged are parts.  Joining parts is associative, so those of a
+    segment of pages are joined first and a document's segments then.  Documents without pages have no row.
+    """
+    single = pages.withColumns({"pages": F.array("page"), "geometry": F.array("geometry")}).drop("page")
+    lines = _with_joined_lines(single, sort, tabs, page_from="page_idx", **boxes)
+    parts = lines.select("doc_id", "page_idx", g.line_part(F.col("_out")).alias("part"))
+    in_order = lambda place: F.transform(F.sort_array(F.collect_list(F.struct(place, "part"))), lambda x: x["part"])
+    segments = parts.groupBy("doc_id", F.floor(F.col("page_idx") / PAGES_PER_SEGMENT).alias("_segment")).agg(in_order("page_idx").alias("_parts"))
+    joined = segments.select("doc_id", "_segment", g.join_parts(F.col("_parts")).alias("part"))
+    whole = joined.groupBy("doc_id").agg(in_order("_segment").alias("_parts"))
+    return whole.select("doc_id", g.join_parts(F.col("_parts"))["text"].alias("text"))
 
 
 def digital_text(page_texts: Column) -> Column:

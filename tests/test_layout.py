@@ -176,3 +176,29 @@ def test_narrow_right_edge(spark):
 def test_no_shuffle_in_text_assembly(spark):
     plan = layout.with_text(frame(spark, []))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+@pytest.mark.parametrize("segment, options", [(64, {}), (2, {}), (1, {"sort": False, "tabs": False})])
+def test_pages_in_rows_of_their_own(spark, monkeypatch, segment, options):
+    monkeypatch.setattr(layout, "PAGES_PER_SEGMENT", segment)
+    rng = random.Random(segment)
+    documents = [random_document(rng) for _ in range(60)]
+    long = [random_document(rng) for _ in range(12)]
+    documents.append(([p for d in long for p in d[0]], [q for d in long for q in d[1]], []))
+    whole = frame(spark, documents)
+    want = {r.doc_id: r.text for r in layout.with_scan_text(whole, "text", **options).collect()}
+    rows = layout.page_rows(whole, ["doc_id"])
+    got = {r.doc_id: r.text for r in layout.scan_text_of_pages(rows.repartition(5), **options).collect()}
+    assert set(want) - set(got) == {d for d, text in want.items() if not documents[int(d)][0] or not documents[int(d)][1]}
+    assert all(want[d] == text for d, text in got.items()) and any("\n" in text for text in got.values())
+
+
+def test_parts_join_in_any_groups(spark):
+    lines = [("a", False), ("", False), ("b", True), ("c\n", False), ("\n", False), ("", True), ("d", False), (None, False), ("e", False)]
+    rows = spark.createDataFrame([(lines[:i], lines[i:j], lines[j:]) for i in range(10) for j in range(i, 10)],
+                                 "a array<struct<content:string,same_line:boolean>>, b array<struct<content:string,same_line:boolean>>, c array<struct<content:string,same_line:boolean>>")
+    part = lambda name: g.line_part(F.col(name))
+    both = lambda x, y: g.join_parts(F.array(x, y))
+    for r in rows.select(both(both(part("a"), part("b")), part("c")).alias("l"), both(part("a"), both(part("b"), part("c"))).alias("r"),
+                         g.join_parts(F.array(part("a"), part("b"), part("c"))).alias("m")).collect():
+        assert r.l == r.r == r.m
