@@ -492,6 +492,7 @@ group by doc_id
 """)
 oracle("text_digital", ["digital_texts"], "select doc_id, text from digital_texts")
 oracle("text_scan", ["scan_texts"], "select doc_id, text from scan_texts")
+oracle("scan_files_by_prefix", ["raw_rows"], "select search_id, k || '|' || pub_raw as line from raw_rows")
 oracle("text_scan_pages", ["scan_texts"], "select doc_id, text from scan_texts")
 oracle("text_scan_plain", ["cropped"], """
 select cast(d.doc_id as varchar) as doc_id, coalesce(t.text, '') as text

@@ -21,6 +21,7 @@ from gazette_lake.plans.listing import unfinished_searches as find_unfinished
 from gazette_lake.plans.publish import with_extraction
 from gazette_lake.session import new_folder, stage
 from gazette_lake.sources import compaction, landed, sinks
+from gazette_lake.sources.files import read_files
 from gazette_lake.sources.index import entries_of, write_entries
 from gazette_lake.sources.tables import read_table, spread
 from gazette_lake.streaming.ingest import ingest_stream
@@ -55,6 +56,17 @@ def scan_pages(spark, sf):
         "search_id", "page", "url", F.length("html").cast("bigint").alias("n_chars"))
 
 
+@query
+def scan_files_by_prefix(spark, sf):
+    """Lines of many small files, a folder for each search, listed where they are read."""
+    folder = new_folder(spark, "files")
+    rows = listing_data.listing_rows(spark, sf).select("search_id", F.concat_ws("|", "k", "pub_raw").alias("value"))
+    rows.write.partitionBy("search_id").text(folder)
+    files = read_files(spark, folder, "*.txt")
+    lines = F.explode(F.split(F.rtrim(F.decode("content", "UTF-8"), F.lit("\n")), "\n"))
+    return files.select(F.replace("prefix", F.lit("search_id="), F.lit("")).alias("search_id"), lines.alias("line"))
+
+
 @query
 def scan_ocr(spark, sf):
     folder = new_folder(spark, "ocr")
