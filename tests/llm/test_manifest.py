@@ -77,7 +77,7 @@ def test_odd_rows(odd, none):
     assert checked(none).columns == ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
 
 
-@pytest.mark.parametrize("n", [1, 7, 8, 9, 65, 600])
+@pytest.mark.parametrize("n", [1, 8, 9, 600])
 def test_trees_of_many_sizes(spark, n):
     docs = spark.range(n).select(
         (F.col("id") * 7 % 1000).alias("doc_id"), F.concat(F.lit("Some TEXT é "), F.col("id").cast("string")).alias("text"),
