@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazette_lake.operators.lake import latest
+from gazette_lake.session import CODEC
 from gazette_lake.sources.landed import read_lake
 
 MONTH = ["pub_year", "pub_month"]
@@ -50,7 +51,7 @@ def compact_months(spark: SparkSession, path: str) -> int:
     touched = lake.join(F.broadcast(plan), same, "left_semi")  # one row per month
     aside = f"_compaction-{uuid.uuid4().hex}"
     even = latest(touched).drop("ingest_seq").hint("rebalance", *MONTH).sortWithinPartitions(*MONTH, "vat")
-    even.write.partitionBy(*MONTH).parquet(f"{path}/{aside}")
+    even.write.partitionBy(*MONTH).parquet(f"{path}/{aside}", compression=CODEC)
     for year, month, last in months:
         into, made = place(f"ingest_seq={last}", *folder(year, month)), place(aside, *folder(year, month))
         files.mkdirs(into)
