@@ -68,3 +68,29 @@ def test_an_ingest_moves_only_the_texts_it_stores(world, monkeypatch):  # noqa:
         spark.createDataFrame([(link("0000001"), "d"), (link("0000002"), "e"), ("elsewhere", "f")], LINKS))
     ingest.ingest_batch(spark.read.schema(schemas.PAGES).parquet(pages), 0, fetched, by_document, out, listing.Rules(default_threshold=date(2010, 1, 1)))
     assert moved == [["one", "two"]] and sorted(r.text for r in spark.read.parquet(f"{out}/lake").collect()) == ["one", "two"]
+
+
+@pytest.fixture
+def tables(spark, tmp_path):
+    """Two searches of 130 orders each."""
+    day = lambda n: date(1998, 1, 1 + n % 28)
+    given = {
+        "orders": ([(n, n % 4, day(n)) for n in range(1, 261)], "o_orderkey bigint, o_custkey bigint, o_orderdate date"),
+        "customer": ([(n, n % 2 + 1) for n in range(4)], "c_custkey bigint, c_nationkey int"),
+        "nation": ([(1, "ONE"), (2, "TWO")], "n_nationkey int, n_name string"),
+        "documents": ([(n, f"First of {n}. Second.") for n in range(18)], "doc_id bigint, text string"),
+    }
+    for name, (rows, schema) in given.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_pages_of_an_unfinished_search_are_made_once_and_nothing_staged_is_left(spark, tables, monkeypatch):
+    made, plain = [], listing_data.result_pages
+    monkeypatch.setattr(listing_data, "result_pages", lambda listed: made.append(1) or plain(listed))
+    before = set(os.listdir(shared_folder(spark)))
+    late = REGISTRY["ingest_unfinished_search"](spark, tables).drop("ingest_seq").collect()
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(shared_folder(spark))) - before}
+    assert len(made) == 1 and left <= {"unfinished", "versions"}
+    once = REGISTRY["stream_ingest"](spark, tables).drop("ingest_seq").collect()
+    assert len(late) > 100 and sorted(map(str, late)) == sorted(map(str, once))
