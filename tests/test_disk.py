@@ -94,3 +94,16 @@ def test_pages_of_an_unfinished_search_are_made_once_and_nothing_staged_is_left(
     assert len(made) == 1 and left <= {"unfinished", "versions"}
     once = REGISTRY["stream_ingest"](spark, tables).drop("ingest_seq").collect()
     assert len(late) > 100 and sorted(map(str, late)) == sorted(map(str, once))
+
+
+def test_rows_that_cannot_be_stored_are_not_shuffled_for_the_index(spark, monkeypatch):
+    rows = [("s", None, None, 1, n, "r", False, "1", str(n) if n % 9 else None, date(2020, 1, 1), f"u{n}") for n in range(300)]
+    frame = stage(spark.createDataFrame(rows, "search_id string, search_vat string, start_date date, page int, pos int, rel string, "
+                                              "multiple_pdf boolean, vat string, publication_number string, publication_date date, publication_link string"), "rows")
+    index = spark.createDataFrame([("1", "7"), ("1", "8"), ("1", "8"), ("2", "10"), (None, "11")], "vat string, publication_number string")
+    asked, plain = [], listing.stored.with_stored
+    monkeypatch.setattr(listing.stored, "with_stored", lambda some, *rest: asked.append(some.count()) or plain(some, *rest))
+    fetched = spark.createDataFrame([(f"u{n}", True, f"/{n}") for n in range(300)], schemas.FETCH_RESULTS)
+    got = {r.pos: r.reject_reason for r in listing.decide(frame, index, fetched, listing.Rules(default_threshold=date(2000, 1, 1))).collect()}
+    assert got == {n: "already_stored" if n in (7, 8) else None if n % 9 else "missing_key" for n in range(300)}
+    assert len(asked) == 1 and asked[0] < 10
