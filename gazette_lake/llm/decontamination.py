@@ -36,6 +36,7 @@ TRIALS = 400
 RUNS = (1, 2, 3)
 RUN_BITS = 22
 SLICE_BYTES = 1 << 22  # larger than elsewhere: few windows of a slice are left to embed
+WINDOW_WORDS = 1 << 20  # words of the windows that are embedded at a time
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -46,7 +47,7 @@ _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = Tru
 def word_hashes(data: np.ndarray, offsets: np.ndarray):
     """Hash, start and end of every word, and each row's first word."""
     starts, ends = arrays.runs(_WORD[data], offsets)
-    return arrays.RangeHash(_LOWER[data])(starts, ends), starts, ends, np.searchsorted(starts, offsets)
+    return arrays.hash_ranges(_LOWER[data], starts, ends), starts, ends, np.searchsorted(starts, offsets)
 
 
 def embed(windows: np.ndarray, steps: np.ndarray, key: np.uint64) -> np.ndarray:
@@ -184,21 +185,25 @@ class Items:
             may = np.ones(len(words), bool)
             for q in RUNS:
                 may &= known[q][np.maximum(end - q + 1, at)] - known[q][at] >= width - q + 1 - q * edits
-            begin = at[may]
-            if not len(begin):
-                continue
-            windows = self._gather(words, begin, row_end[begin], width)
-            found = []
-            for number, (values, own) in enumerate(tables):
-                samples = _samples(windows, self.seed, number)
-                left, right = np.searchsorted(values, samples), np.searchsorted(values, samples, "right")
-                hit = np.flatnonzero(right > left)
-                counts = (right - left)[hit]
-                which = np.repeat(left[hit] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-                found.append(np.stack([np.repeat(hit, counts), own[which]], 1))
-            self._verify(np.unique(np.concatenate(found), axis=0), begin, words, first, row, best)
+            left, step = at[may], max(1, WINDOW_WORDS // width)
+            for low in range(0, len(left), step):
+                begin = left[low:low + step]
+                windows = self._gather(words, begin, row_end[begin], width)
+                self._verify(self._candidates(windows, tables), begin, words, first, row, best)
         return [(r, i, e, int(starts[a] - offsets[r]), int(ends[b - 1] - offsets[r])) for (r, i), (e, a, b) in sorted(best.items())]
 
+    def _candidates(self, windows: np.ndarray, tables: list) -> np.ndarray:
+        """Distinct pairs of a window and an item that agree in a table."""
+        found = []
+        for number, (values, own) in enumerate(tables):
+            samples = _samples(windows, self.seed, number)
+            left, right = np.searchsorted(values, samples), np.searchsorted(values, samples, "right")
+            hit = np.flatnonzero(right > left)
+            counts = (right - left)[hit]
+            which = np.repeat(left[hit] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+            found.append(np.stack([np.repeat(hit, counts), own[which]], 1))
+        return np.unique(np.concatenate(found), axis=0)
+
     def _verify(self, pairs, begin, words, first, row, best) -> None:
         """Compare candidates with whole items and keep the best place by row and item."""
         for low in range(0, len(pairs), 256):

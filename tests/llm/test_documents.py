@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -264,6 +265,26 @@ def test_passages(spark, odd, none):
     assert decontamination.find(docs, benchmark.limit(0)).count() == 0
 
 
+def test_passages_in_bounded_memory(monkeypatch):
+    rng = random.Random(9)
+    words = [f"{rng.randrange(10**9):09d}" for _ in range(300)]
+    item = " ".join(words[:20])
+    items = decontamination.Items([7], [item], 0.15, 0.9, 11)
+    data, offsets = arrays.text_bytes(pa.array([" ".join(rng.choices(words, k=200_000)), f"{item} {' '.join(words[20:])} {item}", None]))
+    starts, ends = arrays.runs(data != 32, offsets)
+    assert (arrays.hash_ranges(data, starts, ends, 1000) == arrays.RangeHash(data)(starts, ends)).all()
+    for name in ("up", "down"):
+        monkeypatch.setattr(arrays._Powers, name, np.ones(1, np.uint64))
+    tracemalloc.start()
+    hits = items.hits(data, offsets)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 20 * len(data)  # words were hashed from 8 numbers per byte, and more
+    assert hits == [(1, 0, 0, 0, len(item))]
+    monkeypatch.setattr(decontamination, "WINDOW_WORDS", 50)
+    assert items.hits(data, offsets) == hits
+
+
 # --- language
 
 
