@@ -40,6 +40,13 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = SL
             end = min(max(end, start + 1), batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
+        release()
+
+
+def release() -> None:
+    """Give back what both allocators hold without using it.  Workers live on between tasks, side by side with others."""
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):  # the second trims the memory numpy uses, too
+        pool.release_unused()
 
 
 def runs(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -15,9 +15,11 @@ from gazette_lake.llm.arrays import RangeHash
 
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
 CACHE_BITS = 20  # slots of a worker's cache: 2**20, 12 MB
-STORE_IDS = 1 << 23  # ids that a worker keeps before it starts afresh: 32 MB
+# What a worker keeps before it starts afresh.  A slice fits above each limit, so that no array grows past the next power of two.
+STORE_IDS = (1 << 21) - (1 << 18)  # ids: 8 MB
+STORE_CHARACTERS = (1 << 22) - (1 << 18)  # characters: 16 MB
+STORE_PIECES = (1 << 20) - (1 << 18)  # pre-tokens: 12 MB; far more than these would not find a slot
 COMPARED = 1 << 15  # characters compared at a time
-STORE_CHARACTERS = 1 << 24  # and characters: 64 MB
 
 # The endings that the public patterns split off after an apostrophe.
 _ONE, _TWO = "stmd", ("re", "ve", "ll")
@@ -208,7 +210,7 @@ class Encoder:
 
         Hashes only say where to look: what is found there is compared, character by character.
         """
-        if self.used_ids > STORE_IDS or self.pieces_text.used > STORE_CHARACTERS:
+        if self.used_ids > STORE_IDS or self.pieces_text.used > STORE_CHARACTERS or self.used > STORE_PIECES:
             self._clear()
         hashes = RangeHash(cp)(starts, ends)
         slot = (hashes >> np.uint64(64 - CACHE_BITS)).astype(np.int64)

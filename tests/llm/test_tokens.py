@@ -171,3 +171,21 @@ def test_equal_pieces_are_spread(spark):
     for row in rows:
         tasks[row.sequence_id >> 40] = tasks.get(row.sequence_id >> 40, 0) + 1
     assert len(rows) == 4000 and len(tasks) == 8 and max(tasks.values()) < 700
+
+
+def test_a_worker_keeps_a_bounded_store_of_pieces():
+    encoder, letters, sizes = Encoder(WORDS, character_tables(), word_level=True), np.random.default_rng(5), set()
+    for _ in range(45):  # 650,000 different words of eight letters
+        text = " ".join(np.frombuffer(letters.integers(97, 123, (14_500, 8), np.uint8).tobytes(), "S8").astype(str))
+        ids, limits = encoder.encode(*arrays.text_bytes(pa.array([text])))
+        sizes.add((encoder.pieces_text.characters.nbytes, encoder.ids.nbytes, encoder.starts.nbytes))
+    assert ids.tolist() == ids_of(WORDS, text) and limits.tolist() == [0, len(ids)]
+    assert max(size[0] for size in sizes) <= 16 << 20 and max(size[1] for size in sizes) <= 8 << 20 and max(size[2] for size in sizes) <= 4 << 20
+
+
+def test_unused_memory_is_given_back_after_each_batch(monkeypatch):
+    given = []
+    monkeypatch.setattr(arrays, "release", lambda: given.append(1))
+    batches = [pa.record_batch({"text": pa.array(["a" * n, None, "b"])}) for n in (1, 1 << 18, 0)]
+    rows = [text for part in arrays.slices(iter(batches)) for text in part.column(0).to_pylist()]
+    assert rows == ["a", None, "b", "a" * (1 << 18), None, "b", "", None, "b"] and len(given) == 3
