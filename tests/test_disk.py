@@ -11,6 +11,7 @@ from test_volume import LINKS, TEXTS, accepted, staged  # noqa: F401
 
 from gazette_lake import schemas
 from gazette_lake.catalog.queries import REGISTRY
+from gazette_lake.derived import layout as layout_data
 from gazette_lake.derived import listing as listing_data
 from gazette_lake.plans import listing
 from gazette_lake.plans.publish import Extractions, with_extraction
@@ -107,3 +108,15 @@ def test_rows_that_cannot_be_stored_are_not_shuffled_for_the_index(spark, monkey
     got = {r.pos: r.reject_reason for r in listing.decide(frame, index, fetched, listing.Rules(default_threshold=date(2000, 1, 1))).collect()}
     assert got == {n: "already_stored" if n in (7, 8) else None if n % 9 else "missing_key" for n in range(300)}
     assert len(asked) == 1 and asked[0] < 10
+
+
+def test_rows_of_many_files_are_not_shuffled_to_be_spread(spark, tmp_path):
+    docs = [(n, f"First of {n}. Second.\nThird {n}.") for n in range(60)]
+    found = []
+    for files in (1, spark.sparkContext.defaultParallelism):
+        folder = f"{tmp_path}/{files}"
+        spark.createDataFrame(docs, "doc_id bigint, text string").repartition(files).write.parquet(f"{folder}/documents.parquet")
+        laid = layout_data.layouts(spark, folder)
+        assert ("Exchange" in laid._jdf.queryExecution().executedPlan().toString()) == (files == 1)
+        found.append(sorted(map(str, laid.collect())))
+    assert found[0] == found[1] and len(found[0]) == 60
