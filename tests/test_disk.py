@@ -13,7 +13,7 @@ from gazette_lake import schemas
 from gazette_lake.catalog.queries import REGISTRY
 from gazette_lake.derived import layout as layout_data
 from gazette_lake.derived import listing as listing_data
-from gazette_lake.plans import listing
+from gazette_lake.plans import listing, publish
 from gazette_lake.plans.publish import Extractions, with_extraction
 from gazette_lake.session import cleared_stages, shared_folder, stage
 from gazette_lake.sources import sinks
@@ -120,3 +120,55 @@ def test_rows_of_many_files_are_not_shuffled_to_be_spread(spark, tmp_path):
         assert ("Exchange" in laid._jdf.queryExecution().executedPlan().toString()) == (files == 1)
         found.append(sorted(map(str, laid.collect())))
     assert found[0] == found[1] and len(found[0]) == 60
+
+
+def typed(spark, rows):
+    """Typed rows with the place of their text: (search, page, pos, vat, date, number, text_at)."""
+    given = spark.createDataFrame(rows, "search_id string, page int, pos int, vat string, publication_date date, publication_number string, text_at bigint")
+    names = [name.split()[0] for name in schemas.TYPED.split(", ")]
+    others = [F.lit(None).cast("string").alias(name) for name in names if name not in given.columns]
+    return stage(given.select("*", *others, F.lit(True).alias("is_digital"), F.lit(None).cast("string").alias("reject_reason")), "rows")
+
+
+@pytest.mark.parametrize("crowd", [1 << 18, 3])
+def test_a_lake_is_written_without_moving_or_sorting_rows_with_texts(spark, tmp_path, monkeypatch, crowd):
+    monkeypatch.setattr(publish, "CROWD", crowd)
+    monkeypatch.setattr(publish, "SHARE_BYTES", 4000)
+    at = lambda n: None if n % 50 == 0 else 7 if n % 3 == 0 else n % 40
+    rows = typed(spark, [("s", 1, n, str(n * 7919 % 1000), date(2000 + n % 3, 1 + n % 5, 1), str(n), at(n)) for n in range(600)])
+    texts = stage(spark.range(30).select(F.col("id").alias("text_at"), F.repeat(F.col("id").cast("string"), 500).alias("text")), "texts")
+    records = publish.publications(publish.with_text(rows, texts), F.lit(1))
+    records.collect()
+    plan = records._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    above, below = plan.split("ShuffledHashJoin")
+    assert "Exchange" not in above and "Sort" not in above and below.count("Sort [year(") == 1
+    sinks.write_lake(records, f"{tmp_path}/lake", 1, dealt=True)
+    assert spark.conf.get("spark.sql.optimizer.plannedWrite.enabled") == "true"
+    written = spark.read.parquet(f"{tmp_path}/lake").withColumn("file", F.input_file_name()).collect()
+    got = {int(r.publication_number): (r.text, r.pub_year, r.pub_month) for r in written}
+    shown = lambda to: None if to is None or to >= 30 else str(to) * 500
+    assert got == {n: (shown(at(n)), 2000 + n % 3, 1 + n % 5) for n in range(600)} and len(written) == 600
+    files = {}
+    for r in written:
+        files.setdefault(r.file, []).append(r.vat)
+    assert len(files) > 30 and all(vats == sorted(vats) for vats in files.values())
+
+
+def test_only_rows_whose_key_comes_again_are_compared(spark):
+    day = lambda n: date(2020, 1, 1 + n % 3)
+    rows = [("s", 1 + n % 2, n, str(n), day(n), str(n), n) for n in range(60)] + [("t", 1, n, str(n), day(n), str(n), n) for n in range(5)]
+    rows += [("t", 1, 4, "4", day(4), "4", 99), ("s", 1, 2, "x", day(0), "x", 98), (None, 1, 7, "7", day(7), "7", 97), (None, 1, 1, "alone", day(0), "1", 96)]
+    frame, key = typed(spark, rows), ["vat", "publication_date", "publication_number"]
+    last = frame.groupBy(*key).agg(F.max(F.struct(*listing.PLACE)).alias("_last")).select("_last.*")
+    want = frame.join(last, listing.PLACE, "left_semi")
+    got = listing.last_of_key(frame)
+    assert sorted(map(str, got.select(*frame.columns).collect())) == sorted(map(str, want.select(*frame.columns).collect())) and got.count() == 63
+    alone = listing.last_of_key(typed(spark, rows[:60]))
+    assert alone.count() == 60 and "Exchange" not in alone._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["stream_ingest", "ingest_late_text", "ingest_unfinished_search", "publications", "reject_report"])
+def test_orders_are_joined_once(spark, tables, monkeypatch, name):
+    made, plain = [], listing_data._orders
+    monkeypatch.setattr(listing_data, "_orders", lambda *of: made.append(1) or plain(*of))
+    assert REGISTRY[name](spark, tables).count() > 1 and len(made) == 1
