@@ -52,7 +52,8 @@ def extracted(spark: SparkSession, sf: str, rules: Rules = RULES) -> DataFrame:
 
 
 def published(spark: SparkSession, sf: str) -> DataFrame:
-    return publications(extracted(spark, sf), F.lit(1))
+    rows, texts = placed(spark, sf)
+    return publications(with_text(rows.filter("reject_reason is null"), texts), F.lit(1))
 
 
 def plain_records(spark: SparkSession, sf: str) -> DataFrame:

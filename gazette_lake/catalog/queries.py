@@ -729,7 +729,7 @@ def summarize(spark, sf):
     """Two runs over a lake; the second finds nothing left to ask."""
     out = new_folder(spark, "summarize")
     with cleared_stages(spark):
-        sinks.write_lake(frames.published(spark, sf), f"{out}/lake", 1)
+        sinks.write_lake(frames.published(spark, sf), f"{out}/lake", 1, dealt=True)
     for _ in range(2):
         summarizing.run(spark, out, stand_in)
     return summarizing.summarized(spark, out).select("blob_key", "status", "summary")
