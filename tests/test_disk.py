@@ -172,3 +172,23 @@ def test_orders_are_joined_once(spark, tables, monkeypatch, name):
     made, plain = [], listing_data._orders
     monkeypatch.setattr(listing_data, "_orders", lambda *of: made.append(1) or plain(*of))
     assert REGISTRY[name](spark, tables).count() > 1 and len(made) == 1
+
+
+def test_held_blocks_are_not_parsed(world, monkeypatch):  # noqa: F811
+    spark, pages, fetched, texts, out = world
+    land(spark, pages, [("done", 1, None, [block("0000001")]), (None, 1, None, [block("0000003")]), ("held", 2, None, [block("0000002")])])
+    parsed, plain = [], ingest.rows_from_cut
+    monkeypatch.setattr(ingest, "rows_from_cut", lambda cut, rules: parsed.append({r.search_id for r in cut.collect()}) or plain(cut, rules))
+    ingest.ingest_batch(spark.read.schema(schemas.PAGES).parquet(pages), 0, fetched, texts, out, listing.Rules(default_threshold=date(2010, 1, 1)))
+    assert parsed == [{"done", None}] and [r.search_id for r in ingest.held_searches(spark, out).collect()] == ["held"]
+
+
+def test_waiting_rows_move_only_their_own_results(spark, monkeypatch):
+    waiting = typed(spark, [("s", 1, n, "1", date(2020, 1, 1), str(n), n) for n in range(3)]).drop("text_at", "is_digital", "reject_reason")
+    waiting = stage(waiting.withColumn("publication_link", F.concat(F.lit("u"), "pos")).withColumn("rel", F.lit("r")).withColumn("multiple_pdf", F.lit(False)), "waiting")
+    fetched = stage(spark.range(1, 3000).select(F.concat(F.lit("u"), "id").alias("url"), (F.col("id") != 2).alias("ok"), F.lit("/p").alias("path")), "fetched")
+    moved, plain = [], listing.rejects.with_download
+    monkeypatch.setattr(listing.rejects, "with_download", lambda rows, results, by: moved.append(results.count()) or plain(rows, results, by))
+    index = spark.createDataFrame([], "vat string, publication_number string")
+    got = {r.pos: r.reject_reason for r in listing.decide_again(waiting, index, fetched, listing.Rules(obey_robots=False)).collect()}
+    assert got == {0: "not_fetched", 1: None, 2: "download_failed"} and 2 <= moved[0] < 10
